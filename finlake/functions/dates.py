@@ -31,8 +31,7 @@ def compact_month_start(text: Column, strict: bool = True) -> Column:
 
 def dashed_month(text: Column, strict: bool = True) -> Column:
     """``2024-03`` completed with day ``-01``."""
-    day = F.concat(text, F.lit("-01"))
-    return day.cast("date") if strict else day.try_cast("date")
+    return _date(F.concat(text, F.lit("-01")), "yyyy-M-d", strict)
 
 
 def epoch_millis(text: Column, strict: bool = True) -> Column:

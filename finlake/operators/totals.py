@@ -18,14 +18,18 @@ def spread_month_totals(
 ) -> DataFrame:
     """Month totals per group and overall, on one row per group and day.
 
-    Needs ``__amount`` and runs over the day rows, whose number the calendar bounds.
+    Needs ``__amount``. A group has at most 31 rows in a month, so its total is a
+    window. The market's total is a grouped sum, of one row per month: the
+    calendar bounds what is broadcast.
     """
     month = month_of(F.col(day))
-    return days.select(
+    market = days.groupBy(month.alias("__market_month")).agg(F.sum("__amount").alias(market_total))
+    totalled = days.select(
         *(name for name in days.columns if name != "__amount"),
         F.sum("__amount").over(Window.partitionBy(*group, month)).alias(group_total),
-        F.sum("__amount").over(Window.partitionBy(month)).alias(market_total),
     )
+    same_month = month.eqNullSafe(F.col("__market_month"))
+    return totalled.join(F.broadcast(market), same_month, "left").drop("__market_month")
 
 
 def with_month_totals(

@@ -51,7 +51,7 @@ class Lake:
         if not files.has_data(self.spark, path):
             return self.spark.createDataFrame([], spec.schema())
         declared = spec.schema()
-        return self.spark.read.parquet(path).select(*(F.col(f.name).cast(f.dataType) for f in declared))
+        return self.spark.read.schema(declared).parquet(path).select(*declared.fieldNames())
 
     def refresh(
         self,
