@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(folder / "shared"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
+            "spark.sql.debug.maxToStringFields": "200",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
