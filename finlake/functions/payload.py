@@ -18,11 +18,24 @@ def parse(payload: Column | str) -> Column:
 def scalar(doc: Column | str, path: str) -> Column:
     """Text of the scalar at ``path``; null when absent, null or not a scalar."""
     doc = F.col(doc) if isinstance(doc, str) else doc
-    text = F.try_variant_get(doc, path, "string")
-    # The type is looked up only for text that could be an object or an array.
+    return unless_nested(text_at(doc, path), doc, path)
+
+
+def text_at(doc: Column | str, path: str) -> Column:
+    """Text at ``path``; an object or array gives its JSON text."""
+    return F.try_variant_get(doc, path, "string")
+
+
+def unless_nested(text: Column, doc: Column | str, path: str) -> Column:
+    """Null in place of the text of an object or array.
+
+    ``text`` is used several times: for many paths select it as a column first. The
+    type is looked up only for text that could be an object or an array; that is a
+    branch of its own because both sides of an AND may be evaluated up front.
+    """
     shape = F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
-    nested = text.rlike(r"^[\[{]") & shape.rlike("^(OBJECT|ARRAY)")
-    return F.when(nested, F.lit(None)).otherwise(text)
+    scalar_only = F.when(~shape.rlike("^(OBJECT|ARRAY)"), text)
+    return F.when(text.startswith("{") | text.startswith("["), scalar_only).otherwise(text)
 
 
 def strip(line: Column | str) -> Column:

@@ -74,6 +74,24 @@ def require_same_columns(target: T.StructType, batch: T.StructType) -> None:
         raise ValueError(f"schema drift between target and batch: {diff}")
 
 
+def _in_range_of(batch: DataFrame, keys: list[str]) -> Column:
+    """Condition every key of the batch meets.
+
+    Parquet statistics then skip the files of other key ranges; growing ids leave
+    only recent ones.
+    """
+    ends = [end for k in keys for end in (F.min(k).alias(f"low_{k}"), F.max(k).alias(f"high_{k}"))]
+    row = batch.agg(*ends).first()
+    within = []
+    for k in keys:
+        low, high = row[f"low_{k}"], row[f"high_{k}"]
+        if low is None:
+            within.append(F.col(k).isNull())
+        else:
+            within.append(F.col(k).isNull() | F.col(k).between(F.lit(low), F.lit(high)))
+    return reduce(lambda a, b: a & b, within)
+
+
 def bucket_of(keys: list[str], buckets: int) -> Column:
     """Storage bucket of a key, for tables without a natural partition column."""
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
@@ -95,8 +113,8 @@ def merge_into(
 
     Touched partitions are those of the batch and those that hold a matched key
     now (a record may move, e.g. to another day); the latter need a scan of the
-    key and partition columns only and are skipped when the key fixes the
-    partition. The new content is first written out in full in the shared folder
+    key and partition columns, within the batch's key range, and are skipped when
+    the key fixes the partition. The new content is first written out in full in the shared folder
     and then replaces the touched partitions. An interrupted run is finished from
     there by the next one.
     """
@@ -116,7 +134,7 @@ def merge_into(
     try:
         touched = batch.select(partition)
         if not key_fixes_partition:
-            places = target.select(*dict.fromkeys([*keys, partition]))
+            places = target.select(*dict.fromkeys([*keys, partition])).where(_in_range_of(batch, keys))
             if null_safe:
                 matching = _null_safe_join(places, batch, keys, "left_semi")
             else:

@@ -122,17 +122,27 @@ def type_payloads(rows: DataFrame, spec: TrustedSpec, strict: bool = True) -> Da
     ``strict`` raises on a value that does not fit its type; otherwise it is null
     and :func:`quarantine` lists the row.
     """
-    documents = _documents(rows, spec)
+    texts = _documents(rows, spec).select(
+        "*", *(P.text_at("__doc", f.path).alias(_text_name(f)) for f in spec.fields)
+    )
     for field in spec.fields:
         if field.name in spec.required:
-            documents = documents.where(P.scalar("__doc", field.path).isNotNull())
-    typed = {f.name: f.typed(P.scalar("__doc", f.path), strict) for f in spec.fields}
-    carried = ["_ingested_at", "_source_file", "payload"]
-    return documents.select(
-        *(value.alias(name) for name, value in typed.items()), *(c for c in carried if c in rows.columns)
+            texts = texts.where(_scalar(field).isNotNull())
+    return texts.select(
+        *(f.typed(_scalar(f), strict).alias(f.name) for f in spec.fields),
+        *(c for c in rows.columns if c not in spec.schema().names),
     )
 
 
+def _text_name(field: Field) -> str:
+    return f"__text_{field.name}"
+
+
+def _scalar(field: Field) -> Column:
+    """The field's text, from the columns :func:`type_payloads` selected."""
+    return P.unless_nested(F.col(_text_name(field)), "__doc", field.path)
+
+
 def quarantine(rows: DataFrame, spec: TrustedSpec) -> DataFrame:
     """Rows that strict typing would reject, each with the reasons."""
     documents = rows.withColumn("__doc", P.parse("payload"))
@@ -160,14 +170,15 @@ def build(
     """The model's rows of a raw table: typed, latest record per key, stamped.
 
     Keys are compared after typing, so ``01`` and ``1`` are one integer key as
-    they are in the table. Records of one run share their ingest time; file name
-    and payload then decide, so that a re-run picks the same record.
+    they are in the table. Records of one run share their ingest time; a hash of
+    the payload then decides, so that a re-run picks the same record without the
+    payloads in the shuffle.
     """
     window = select_window(rows, spec, as_of or run_at.date(), incremental, start_date)
+    window = window.select("payload", "_ingested_at", F.xxhash64("payload").alias("__tie"))
     typed = type_payloads(window, spec, strict)
     order = [spec.event_order] if spec.event_order else []
-    order += ["_ingested_at", "_source_file", "payload"]
-    newest = [F.col(c).desc_nulls_last() for c in order if c in typed.columns]
+    newest = [F.col(c).desc_nulls_last() for c in [*order, "_ingested_at", "__tie"]]
     stamp = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
     return latest(typed, list(spec.key), newest).select(
         *(f.name for f in spec.fields), stamp.alias(INSERT_DATE)

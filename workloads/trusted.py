@@ -43,7 +43,7 @@ TRADES = f"{S.with_ctes(S.TRADES_SQL)} SELECT * EXCLUDE (load_date) FROM trades"
 
 
 def interest_rates(spark, sf_dir):
-    orders = S.read(spark, sf_dir, "orders")
+    orders = S.read_spread(spark, sf_dir, "orders")
     group = F.col("o_custkey") % 200
     members = {
         "anoMes": F.when(F.col("o_orderkey") % 17 != 0, F.date_format("o_orderdate", "yyyy-MM")),
@@ -142,7 +142,7 @@ FROM part QUALIFY row_number() OVER (PARTITION BY p_partkey % 300 ORDER BY p_par
 
 
 def payments(spark, sf_dir):
-    orders = S.read(spark, sf_dir, "orders")
+    orders = S.read_spread(spark, sf_dir, "orders")
     members = {"AnoMes": F.date_format("o_orderdate", "yyyyMM")}
     for i, means in enumerate(("Pix", "TED", "Boleto", "Cheque", "DOC", "TEC"), start=1):
         members[f"quantidade{means}"] = F.col("o_custkey") * i
@@ -163,7 +163,7 @@ QUALIFY row_number() OVER (PARTITION BY date_trunc('month', o_orderdate) ORDER B
 
 
 def expectations(spark, sf_dir):
-    events = S.read(spark, sf_dir, "events")
+    events = S.read_spread(spark, sf_dir, "events")
     value = F.col("value").cast("decimal(18,2)")
     members = {
         "Data": _text_day(F.col("ts")),
@@ -207,8 +207,7 @@ def _slash(day: str) -> Column:
 
 def raw_results(spark, sf_dir) -> DataFrame:
     """Result payloads; each arrives twice, the first time with other amounts."""
-    rows = S.auctions(spark, sf_dir)
-    rows = rows.withColumn("last", F.lit(0)).unionByName(rows.withColumn("last", F.lit(1)))
+    rows = S.auctions(spark, sf_dir).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("last"))
     members = {
         "numero_edital": F.col("num_edital"),
         "titulo": F.col("titulo"),
@@ -236,7 +235,7 @@ def raw_results(spark, sf_dir) -> DataFrame:
 
 
 def _orders_with_parts(spark, sf_dir) -> DataFrame:
-    return S.read(spark, sf_dir, "orders").select(
+    return S.read_spread(spark, sf_dir, "orders").select(
         "*",
         S.maturity().alias("due"),
         S.auction_type().alias("kind"),
@@ -274,8 +273,9 @@ def raw_calendar(spark, sf_dir) -> DataFrame:
 
 
 def raw_announcements(spark, sf_dir) -> DataFrame:
-    pages = S.read(spark, sf_dir, "pages")
-    pages = pages.withColumn("again", F.lit(0)).unionByName(pages.withColumn("again", F.lit(1)))
+    pages = S.read(spark, sf_dir, "pages").select(
+        "page_id", "url", F.explode(F.array(F.lit(0), F.lit(1))).alias("again")
+    )
     members = {
         "LINK": F.col("url"),
         "TITULO": F.concat_ws(" ", F.lit("Comunicado"), F.col("page_id") + F.col("again")),
@@ -395,7 +395,7 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
 
 def json_paths(spark, sf_dir):
     """Scalars, nested values, case-distinct and accented names, long numbers."""
-    events = S.read(spark, sf_dir, "events")
+    events = S.read_spread(spark, sf_dir, "events")
     number = F.concat(F.lit("9007199254740"), F.lpad((F.col("event_id") % 1000).cast("string"), 3, "0"))
     doc = F.concat(
         F.lit('{"t":'), "event_id", F.lit(',"T":'), "user_id", F.lit(',"TÍTULO":"'), "event_type",
@@ -446,7 +446,7 @@ ORDERS = TrustedSpec(
 
 
 def typed_orders(spark, sf_dir):
-    orders = S.read(spark, sf_dir, "orders")
+    orders = S.read_spread(spark, sf_dir, "orders")
     members = {
         "id": F.col("o_orderkey").cast("string"),
         "customer": F.col("o_custkey"),
@@ -459,7 +459,7 @@ def typed_orders(spark, sf_dir):
         "millis": F.unix_millis(F.col("o_orderdate").cast("timestamp")),
     }
     rows = S.raw_rows(orders, members, _sequence_time(F.col("o_orderkey")))
-    return S.flat(type_payloads(rows, ORDERS).drop("_ingested_at", "_source_file", "payload"))
+    return S.flat(type_payloads(rows, ORDERS).select(*(f.name for f in ORDERS.fields)))
 
 
 TYPED_ORDERS = f"""
@@ -501,7 +501,7 @@ FROM days
 
 def _event_rows(spark, sf_dir) -> DataFrame:
     """Events as rows of a multiplexed raw table; some miss a required value."""
-    events = S.read(spark, sf_dir, "events")
+    events = S.read_spread(spark, sf_dir, "events")
     members = {
         "id": F.when(F.col("user_id") % 10 != 0, F.col("event_id")),
         "who": F.col("user_id"),
