@@ -93,6 +93,9 @@ class Lake:
     def publish_refined(self, run_at: datetime, check: bool = True) -> None:
         """Rebuild the enriched table and point the three views at the new version.
 
+        ``refined.tesouro_leiloes_enriched`` is in the catalog; the summary and the
+        stress list are views of the session, evaluated on read.
+
         Readers of the old version are not disturbed: each run writes a new
         folder and the view is replaced at the end.
         """
@@ -109,6 +112,8 @@ class Lake:
         self.spark.sql(
             f"CREATE OR REPLACE VIEW refined.tesouro_leiloes_enriched AS SELECT * FROM parquet.`{version}`"
         )
+        self.by_title().createOrReplaceTempView("tesouro_leiloes_por_titulo")
+        self.stressed().createOrReplaceTempView("tesouro_leiloes_stress")
         # The previous version stays for queries that still read it.
         folder = self.path("refined", "tesouro_leiloes_enriched")
         for old in files.children(self.spark, folder)[:-2]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -25,9 +26,16 @@ MULTIPLEXED_SCHEMA = T.StructType(
 )
 
 
-def lookback_start(as_of: date, reference_date: date | None = None, days: int = 2) -> date:
-    """First landing day of a run: the given date, or ``days`` before ``as_of``."""
-    return reference_date or as_of - timedelta(days=days)
+def lookback_start(as_of: date, reference_date: date | str | None = None, days: int = 2) -> date:
+    """First landing day of a run.
+
+    The given date, else the environment's ``REFERENCE_DATE``, else ``days`` before
+    ``as_of``.
+    """
+    given = reference_date or os.environ.get("REFERENCE_DATE")
+    if not given:
+        return as_of - timedelta(days=days)
+    return given if isinstance(given, date) else date.fromisoformat(given)
 
 
 def wrap(landed: DataFrame, run_at: datetime, endpoint: Column | str | None = None) -> DataFrame:

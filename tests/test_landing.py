@@ -116,9 +116,13 @@ def test_append_of_nothing(spark, folder):
     assert raw.read(spark, folder).count() == 0
 
 
-def test_lookback_start():
+def test_lookback_start(monkeypatch):
+    monkeypatch.delenv("REFERENCE_DATE", raising=False)
+    assert raw.lookback_start(date(2024, 5, 10), "2024-02-03") == date(2024, 2, 3)
     assert raw.lookback_start(date(2024, 5, 10)) == date(2024, 5, 8)
     assert raw.lookback_start(date(2024, 5, 10), days=0) == date(2024, 5, 10)
+    monkeypatch.setenv("REFERENCE_DATE", "2024-03-01")
+    assert raw.lookback_start(date(2024, 5, 10)) == date(2024, 3, 1)
     assert raw.lookback_start(date(2024, 5, 10), date(2024, 1, 1)) == date(2024, 1, 1)
 
 

@@ -3,6 +3,7 @@
 import re
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from finlake.operators import merge, quality, totals
@@ -48,7 +49,7 @@ def test_load_window_prunes_partitions(spark, folder):
     filters = re.search(r"PartitionFilters: \[(.*?)\]", text).group(1)
     assert "_load_date" in filters
     scan = re.search(r"ReadSchema: struct<(.*?)>", text).group(1)
-    assert scan == "payload:string,_source_file:string,_ingested_at:timestamp"
+    assert scan == "payload:string,_ingested_at:timestamp"
 
 
 def test_endpoint_filter_reaches_the_scan(spark, folder):
@@ -113,3 +114,53 @@ def test_null_keys_do_not_meet_in_the_join(spark):
 def test_typed_columns_only(spark, folder):
     text = plan(build(stored_raw(spark, folder), models.TRADES, datetime(2024, 6, 1)))
     assert "PythonUDF" not in text and "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+@pytest.fixture
+def no_broadcast_small_skew(spark):
+    """Settings that make AQE treat small test data as it treats large partitions."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_slot_with_a_third_of_the_auctions_is_split(spark, folder, no_broadcast_small_skew):
+    rows = S.auctions(spark, "/root/testdata/sf0.01")
+    hot = F.col("num_edital") % 3 == 0
+    slot = {
+        "titulo": F.lit("HOT"),
+        "data_leilao": F.lit(date(1998, 5, 5)),
+        "data_vencimento": F.lit(date(2001, 1, 1)),
+        "tipo_leilao": F.lit("Venda"),
+    }
+    rows = rows.withColumns({c: F.when(hot, v).otherwise(F.col(c)) for c, v in slot.items()})
+    results = write(rows.repartition(8), f"{folder}/a")
+    frame = refined.enrich(
+        results,
+        write(S.calendar(spark, SF), f"{folder}/c"),
+        write(S.periods(spark, SF), f"{folder}/p"),
+        rows_per_bucket=500,
+    )
+    counted = frame.agg(*(F.max(c) for c in frame.columns))
+    counted.collect()
+    final = plan(counted).split("== Initial Plan ==")[0]
+    joins = [line for line in final.splitlines() if "SortMergeJoin(skew=true)" in line]
+    assert len(joins) == 2  # the join of the slots' facts, and that of the bucket ends
+
+
+def test_merge_lookup_is_limited_to_the_key_range(spark):
+    batch = spark.createDataFrame([(5, "b"), (9, "d"), (7, None)], "k bigint, s string")
+    target = spark.range(100).select(F.col("id").alias("k"), F.lit("c").alias("s"))
+    found = target.where(merge._in_range_of(batch, ["k", "s"]))
+    assert [r.k for r in found.orderBy("k").collect()] == [5, 6, 7, 8, 9]
+    assert "k" in optimized(found) and ">= 5" in optimized(found) and "<= 9" in optimized(found)

@@ -224,6 +224,8 @@ def test_published_views_read_the_newest_version(spark, folder):
         assert lake.enriched().count() == len(numbers)
         assert lake.by_title().first().num_leiloes == len(numbers)
         assert lake.stressed().count() == len(numbers)
+        assert spark.sql("SELECT * FROM tesouro_leiloes_stress").count() == len(numbers)
+        assert spark.sql("SELECT num_leiloes FROM tesouro_leiloes_por_titulo").first()[0] == len(numbers)
     import os
 
     versions = sorted(os.listdir(f"{folder}/refined/tesouro_leiloes_enriched"))

@@ -108,3 +108,17 @@ def test_hourly_counts_follow_late_trades(spark, folder):
 
     assert counts((1, 5), (1, 50), (2, 0)) == [(1, 2), (2, 1)]
     assert counts((1, 59), (3, 0)) == [(1, 3), (2, 1), (3, 1)]
+
+
+def test_running_landing_closes_batches_by_age(spark, folder):
+    put(f"{folder}/in/a.txt", message(1))
+    messages = stream.read_messages(spark, f"{folder}/in")
+    query = stream.start_landing(messages, f"{folder}/landing", f"{folder}/cp")
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+        trigger = query._jsq.streamingQuery().trigger()
+        assert "60000" in trigger.toString()
+    finally:
+        query.stop()
+    assert len(glob.glob(f"{folder}/landing/entity=btcbrl_trades/*/*/*/*/*.jsonl")) == 1

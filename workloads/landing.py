@@ -247,7 +247,7 @@ def stream_messages(events: DataFrame) -> DataFrame:
     )
     wrapped = F.concat(F.lit('{"stream":"x@trade","data":'), trade, F.lit("}"))
     message = (
-        F.when(F.col("user_id") % 10 == 3, F.expr("left(event_type, 3) || '{'"))
+        F.when(F.col("value") < 5, F.expr("left(event_type, 3) || '{'"))
         .when(F.col("event_id") % 2 == 0, wrapped)
         .otherwise(trade)
     )
@@ -272,9 +272,9 @@ def stream_unwrap(spark, sf_dir):
 STREAM_SYMBOL = "CASE WHEN event_id % 5 <> 0 THEN event_type || 'brl' ELSE 'unknown' END"
 
 STREAM_UNWRAP = f"""
-SELECT event_id AS trade_id, {STREAM_SYMBOL} AS symbol, true AS readable FROM events WHERE user_id % 10 <> 3
+SELECT event_id AS trade_id, {STREAM_SYMBOL} AS symbol, true AS readable FROM events WHERE value >= 5
 UNION ALL
-SELECT NULL, left(event_type, 3) || '{{', false FROM events WHERE user_id % 10 = 3
+SELECT NULL, left(event_type, 3) || '{{', false FROM events WHERE value < 5
 """
 
 # -- spines and slices ---------------------------------------------------------------------

@@ -281,7 +281,7 @@ def stream_landing_hourly(spark, sf_dir):
 
 STREAM_LANDING_HOURLY = f"""
 SELECT event_id AS trade_id, {STREAM_SYMBOL} || '_trades' AS entity, true AS filed_by_arrival
-FROM events WHERE user_id % 10 <> 3
+FROM events WHERE value >= 5
 """
 
 

@@ -46,7 +46,7 @@ def interest_rates(spark, sf_dir):
     orders = S.read_spread(spark, sf_dir, "orders")
     group = F.col("o_custkey") % 200
     members = {
-        "anoMes": F.when(F.col("o_orderkey") % 17 != 0, F.date_format("o_orderdate", "yyyy-MM")),
+        "anoMes": F.when(F.col("o_totalprice") >= 30000, F.date_format("o_orderdate", "yyyy-MM")),
         "Modalidade": F.col("o_orderpriority"),
         "cnpj8": F.lpad(group.cast("string"), 8, "0"),
         "InstituicaoFinanceira": F.concat(F.lit("Instituição "), group),
@@ -68,7 +68,7 @@ SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS data_referencia
            AS pct_taxa_juros_mes,
        CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.000125 AS DECIMAL(7,6)), 6) AS DOUBLE)
            AS pct_taxa_juros_ano
-FROM orders WHERE o_orderkey % 17 <> 0
+FROM orders WHERE o_totalprice >= 30000
 QUALIFY row_number() OVER (
     PARTITION BY date_trunc('month', o_orderdate), o_orderpriority, o_custkey % 200
     ORDER BY o_orderkey DESC) = 1
@@ -503,7 +503,7 @@ def _event_rows(spark, sf_dir) -> DataFrame:
     """Events as rows of a multiplexed raw table; some miss a required value."""
     events = S.read_spread(spark, sf_dir, "events")
     members = {
-        "id": F.when(F.col("user_id") % 10 != 0, F.col("event_id")),
+        "id": F.when(F.col("value") >= 5, F.col("event_id")),
         "who": F.col("user_id"),
         "value": F.col("value").cast("decimal(18,2)"),
     }
@@ -532,7 +532,7 @@ def required_paths(spark, sf_dir):
     return S.flat(typed.select("event_id", "user_id", "value"))
 
 
-REQUIRED_PATHS = "SELECT event_id, user_id, value FROM events WHERE user_id % 10 <> 0"
+REQUIRED_PATHS = "SELECT event_id, user_id, value FROM events WHERE value >= 5"
 
 
 def discriminator_route(spark, sf_dir):
@@ -542,7 +542,7 @@ def discriminator_route(spark, sf_dir):
 
 
 DISCRIMINATOR_ROUTE = """
-SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase' AND user_id % 10 <> 0
+SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase' AND value >= 5
 """
 
 
