@@ -114,15 +114,16 @@ def merge_into(
     Touched partitions are those of the batch and those that hold a matched key
     now (a record may move, e.g. to another day); the latter need a scan of the
     key and partition columns, within the batch's key range, and are skipped when
-    the key fixes the partition. The new content is first written out in full in the shared folder
-    and then replaces the touched partitions. An interrupted run is finished from
-    there by the next one.
+    the key fixes the partition. The new content is first written out in full next
+    to the table and then replaces the touched partitions. An interrupted run is
+    finished from there by the next one, an interrupted first build is done again.
+    One writer per table at a time.
     """
     keys = key_list(keys)
     staging = f"{path.rstrip('/')}.merge"
     _finish(spark, path, staging, partition)
-    if not files.has_data(spark, path):
-        _write(batch, path, partition)
+    if not files.is_built(spark, path):
+        _write(batch, path, partition, partitions="static")
         return
     target = _read(spark, path, batch.schema[partition])
     require_same_columns(target.schema, batch.schema)
@@ -168,12 +169,15 @@ def _read(spark: SparkSession, path: str, partition: T.StructField) -> DataFrame
     return spark.read.schema(typed).parquet(path)
 
 
-def _write(rows: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions present in ``rows``; hot partitions are split over tasks."""
+def _write(rows: DataFrame, path: str, partition: str, partitions: str = "dynamic") -> None:
+    """Replace the partitions present in ``rows``, or with "static" the whole table.
+
+    Hot partitions are split over tasks.
+    """
     (
         rows.hint("rebalance", partition)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", partitions)
         .partitionBy(partition)
         .parquet(path)
     )

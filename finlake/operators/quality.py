@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -66,7 +66,3 @@ def require(rows: DataFrame, checks: Checks, table: str) -> None:
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows, with repetitions, present on one side only."""
     return left.exceptAll(right).unionByName(right.exceptAll(left))
-
-
-def any_failed(status: Column) -> Column:
-    return F.bool_or(status == "failure")

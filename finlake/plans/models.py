@@ -247,7 +247,6 @@ RESULTS = TrustedSpec(
         Field("financeiro_bcb", "financeiro_bcb", "numeric", "amount accepted by the central bank"),
     ),
     key=("num_edital",),
-    required=("num_edital",),
     checks=Checks(
         not_null=("num_edital", "titulo", "data_vencimento", "data_leilao"),
         unique=(("num_edital",),),

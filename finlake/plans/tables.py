@@ -43,7 +43,7 @@ class Lake:
         return raw.read(self.spark, self.path("raw", source), multiplexed)
 
     def is_built(self, spec: TrustedSpec) -> bool:
-        return files.has_data(self.spark, self.path("trusted", spec.name))
+        return files.is_built(self.spark, self.path("trusted", spec.name))
 
     def trusted(self, spec: TrustedSpec) -> DataFrame:
         """A trusted table in its declared columns."""

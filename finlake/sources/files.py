@@ -45,6 +45,11 @@ def has_data(spark: SparkSession, path: str) -> bool:
     )
 
 
+def is_built(spark: SparkSession, path: str) -> bool:
+    """Whether a table has data and its first write was completed."""
+    return exists(spark, f"{path}/_SUCCESS") and has_data(spark, path)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the first partition column, read from folder names only."""
     prefix = f"{column}="

@@ -138,13 +138,30 @@ def write(
     large share of the rows.
     """
     parts = [ENTITY, *_DAY_PARTS, *(["hour"] if hourly else []), *(extra_parts or [])]
+    _save(records.select(F.col(payload).alias("value"), *parts), root, parts, max_records_per_file)
+
+
+def write_folder(
+    records: DataFrame,
+    root: str,
+    entity: str,
+    payload: str = "payload",
+    hourly: bool = False,
+    max_records_per_file: int = 0,
+) -> None:
+    """Write one entity's records below its plain folder, ``root/entity/year=``."""
+    parts = [*_DAY_PARTS, *(["hour"] if hourly else [])]
+    lines = records.select(F.col(payload).alias("value"), *parts)
+    _save(lines, f"{root}/{entity}", parts, max_records_per_file)
+
+
+def _save(lines: DataFrame, path: str, parts: list[str], max_records_per_file: int) -> None:
     (
-        records.select(F.col(payload).alias("value"), *parts)
-        .hint("rebalance", *parts)
+        lines.hint("rebalance", *parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*parts)
         .options(**AS_JSON_LINES)
-        .csv(root)
+        .csv(path)
     )

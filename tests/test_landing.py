@@ -72,6 +72,15 @@ def test_write_replaces_the_days_it_has_and_keeps_text(spark, folder):
     assert os.path.isdir(f"{folder}/entity=a/year=2024/month=05/day=01")
 
 
+def test_plain_folder_round_trip(spark, folder):
+    frame = records(spark, [("x", date(2024, 5, 1), "a"), ("x", date(2024, 5, 2), "b")])
+    for _ in range(2):
+        landing.write_folder(frame, folder, "dealers")
+    assert os.path.isdir(f"{folder}/dealers/year=2024/month=05/day=02")
+    found = landing.scan_folders(spark, folder, ["dealers", "none"], date(2024, 5, 1), date(2024, 5, 2))
+    assert texts(found) == ["a", "b"]
+
+
 def test_year_suffix_becomes_a_folder(spark, folder):
     frame = records(spark, [("resultados", date(2024, 5, 1), "x"), ("resultados", date(2024, 5, 1), "y")])
     frame = frame.withColumn("ref_year", F.when(F.col("payload") == "x", "2023").otherwise("2024"))

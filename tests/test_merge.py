@@ -136,6 +136,15 @@ def test_interrupted_merge_is_finished_by_the_next(spark, folder, monkeypatch):
     assert table(spark, path) == [(1, D1, "a2"), (2, D2, "b"), (3, D1, "c"), (4, D2, "d")]
 
 
+def test_interrupted_first_build_is_done_again(spark, folder):
+    path = f"{folder}/t"
+    merge_days(spark, path, [(1, D1, "partial")])
+    os.remove(f"{path}/_SUCCESS")
+    assert not files.is_built(spark, path)
+    merge_days(spark, path, [(2, D2, "b"), (3, D3, "c")])
+    assert table(spark, path) == [(2, D2, "b"), (3, D3, "c")]
+
+
 def test_schema_drift_is_refused(spark, folder):
     path = f"{folder}/t"
     merge_days(spark, path, [(1, D1, "a")])
