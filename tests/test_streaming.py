@@ -2,6 +2,7 @@
 
 import glob
 import os
+import time
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -114,11 +115,14 @@ def test_running_landing_closes_batches_by_age(spark, folder):
     put(f"{folder}/in/a.txt", message(1))
     messages = stream.read_messages(spark, f"{folder}/in")
     query = stream.start_landing(messages, f"{folder}/landing", f"{folder}/cp")
+    landed = f"{folder}/landing/entity=btcbrl_trades/*/*/*/*/*.jsonl"
     try:
-        query.processAllAvailable()
+        give_up = time.time() + 40  # the first batch starts at once, the next a minute later
+        while not glob.glob(landed) and time.time() < give_up:
+            time.sleep(0.2)
         assert query.isActive
         trigger = query._jsq.streamingQuery().trigger()
         assert "60000" in trigger.toString()
     finally:
         query.stop()
-    assert len(glob.glob(f"{folder}/landing/entity=btcbrl_trades/*/*/*/*/*.jsonl")) == 1
+    assert len(glob.glob(landed)) == 1
