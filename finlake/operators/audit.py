@@ -77,7 +77,7 @@ def log_rows(outcomes: DataFrame, run: Run, run_at: datetime) -> DataFrame:
 def write_log(rows: DataFrame, path: str) -> bool:
     """Append log rows by log day. A failure is logged and never stops the run."""
     try:
-        rows.coalesce(1).write.mode("append").partitionBy(LOG_DATE).parquet(path)
+        rows.repartition(1).write.mode("append").partitionBy(LOG_DATE).parquet(path)
         return True
     except Exception:
         logger.exception("ingestion log not written to %s", path)

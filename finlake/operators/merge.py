@@ -106,9 +106,14 @@ def merge_into(
     null_safe: bool = True,
     key_fixes_partition: bool = False,
     newer_by: str | None = None,
+    layout: str = "",
 ) -> None:
     """Upsert a batch into the Parquet table at ``path``.
 
+    The first build is written next to the table and moved into place once it is
+    complete and marked. A folder that holds data without a marker, or a table of
+    another ``layout`` than this one, raises and is left as it is.
+
     With ``newer_by`` a stored row that is newer than the batch's is kept.
 
     Touched partitions are those of the batch and those that hold a matched key
@@ -116,14 +121,24 @@ def merge_into(
     key and partition columns, within the batch's key range, and are skipped when
     the key fixes the partition. The new content is first written out in full next
     to the table and then replaces the touched partitions. An interrupted run is
-    finished from there by the next one, an interrupted first build is done again.
+    finished from there by the next one, an interrupted first build (which is only in
+    the staging folder) is done again.
     One writer per table at a time.
     """
     keys = key_list(keys)
     staging = f"{path.rstrip('/')}.merge"
     _finish(spark, path, staging, partition)
     if not files.is_built(spark, path):
-        _write(batch, path, partition, partitions="static")
+        if files.has_data(spark, path):
+            raise ValueError(f"{path} holds data but no mark of a completed write; see files.mark_built")
+        _write(batch, f"{staging}/first", partition, partitions="static")
+        files.mark_built(spark, f"{staging}/first", layout)
+        _finish(spark, path, staging, partition)
+        return
+    if files.layout_of(spark, path) != layout:
+        raise ValueError(f"{path} has the layout {files.layout_of(spark, path)!r}, not {layout!r}")
+    if not files.has_data(spark, path):  # all first builds so far were empty
+        _write(batch, path, partition)
         return
     target = _read(spark, path, batch.schema[partition])
     require_same_columns(target.schema, batch.schema)
@@ -157,6 +172,7 @@ def merge_into(
         spark.createDataFrame([(v,) for v in values], T.StructType([batch.schema[partition]])).coalesce(
             1
         ).write.mode("overwrite").parquet(f"{staging}/touched")
+        files.mark_built(spark, f"{staging}/touched")
         _finish(spark, path, staging, partition)
     finally:
         files.remove(spark, held)
@@ -185,15 +201,19 @@ def _write(rows: DataFrame, path: str, partition: str, partitions: str = "dynami
 
 def _finish(spark: SparkSession, path: str, staging: str, partition: str) -> None:
     """Move a completely staged merge into the table; drop an incomplete one."""
-    if files.exists(spark, f"{staging}/touched/_SUCCESS"):
+    if files.is_built(spark, f"{staging}/first") and not files.is_built(spark, path):
+        if files.exists(spark, path):
+            files.remove(spark, path)  # holds no data, see merge_into
+        files.rename(spark, f"{staging}/first", path)
+    if files.is_built(spark, f"{staging}/touched"):
         touched = spark.read.parquet(f"{staging}/touched")
         if files.has_data(spark, f"{staging}/rows"):
             _write(_read(spark, f"{staging}/rows", touched.schema[0]), path, partition)
         # A partition all of whose rows moved elsewhere has no staged rows.
-        staged = set(files.partition_values(spark, f"{staging}/rows", partition))
+        staged = set(files.children(spark, f"{staging}/rows"))
         for (value,) in touched.collect():
-            folder = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+            folder = files.partition_folder(spark, partition, value)
             if folder not in staged:
-                files.remove(spark, f"{path}/{partition}={folder}")
+                files.remove(spark, f"{path}/{folder}")
     if files.exists(spark, staging):
         files.remove(spark, staging)

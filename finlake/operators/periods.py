@@ -12,10 +12,15 @@ _MONTH = "__month"
 
 
 def _months(start: str, end: str) -> Column:
-    """Every month a period touches; none when it ends before it starts."""
+    """Every month a period touches between the first and last day of its key's rows.
+
+    None when it ends before it starts. An open-ended period counts the months the rows
+    cover, not those of the calendar.
+    """
+    first, last = F.greatest(start, "__first"), F.least(end, "__last")
     return F.when(
-        F.col(start) <= F.col(end),
-        F.sequence(month_of(F.col(start)), month_of(F.col(end)), F.expr("interval 1 month")),
+        (F.col(start) <= F.col(end)) & (first <= last),
+        F.sequence(month_of(first), month_of(last), F.expr("interval 1 month")),
     )
 
 
@@ -28,7 +33,9 @@ def interval_join(
     key: a key with many rows and many periods is spread over its months, and a
     row meets only the periods of its own month instead of all of its key.
     """
-    offered = periods.select("*", F.explode(_months(start, end)).alias(_MONTH))
+    covered = rows.groupBy(*keys).agg(F.min(day).alias("__first"), F.max(day).alias("__last"))
+    offered = periods.join(covered, keys).withColumn(_MONTH, F.explode(_months(start, end)))
+    offered = offered.drop("__first", "__last")
     dated = rows.select("*", month_of(F.col(day)).alias(_MONTH))
     joined = dated.join(offered, [*keys, _MONTH])
     return joined.where(F.col(day).between(F.col(start), F.col(end))).drop(_MONTH)

@@ -60,8 +60,17 @@ def in_slices(rows: DataFrame, kind: str, segment: str, keep_unsegmented: bool =
 
 
 def in_period(rows: DataFrame, day: str, reference: date | Column, pattern: str = "yyyy-MM") -> DataFrame:
-    """Rows whose date, written in ``pattern``, equals the reference date's."""
+    """Rows whose date, written in ``pattern``, equals the reference date's.
+
+    For years, months and days the condition is a range of the bare column, which
+    scans can push down.
+    """
     reference = reference if isinstance(reference, Column) else F.lit(reference)
+    unit = {"yyyy": "year", "yyyy-MM": "month", "yyyy-MM-dd": "day"}.get(pattern)
+    if unit:
+        start = F.date_trunc(unit, reference)
+        start, end = start.cast("date"), (start + F.expr(f"interval 1 {unit}")).cast("date")
+        return rows.where((F.col(day) >= start) & (F.col(day) < end))
     return rows.where(F.date_format(day, pattern) == F.date_format(reference, pattern))
 
 
@@ -123,10 +132,12 @@ def incomplete_entities(runs: DataFrame, entity: str, limit: int = GAPS_TO_FAIL)
 
 def require_complete(runs: DataFrame, entity: str, limit: int = GAPS_TO_FAIL) -> None:
     """Raise when any entity has too many old gaps in a row."""
-    # The list is only for the message; one row already decides.
-    down = [row[0] for row in incomplete_entities(runs, entity, limit).limit(20).collect()]
-    if down:
-        raise RuntimeError(f"{limit} or more old months in a row without an answer: {down}")
+    down = incomplete_entities(runs, entity, limit)
+    count = down.count()
+    if count:
+        named = [row[0] for row in down.orderBy(entity).limit(20).collect()]
+        more = f" and {count - len(named)} more" if count > len(named) else ""
+        raise RuntimeError(f"{limit} or more old months in a row without an answer: {named}{more}")
 
 
 def missing_months(

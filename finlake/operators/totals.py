@@ -19,8 +19,7 @@ def spread_month_totals(
     """Month totals per group and overall, on one row per group and day.
 
     Needs ``__amount``. A group has at most 31 rows in a month, so its total is a
-    window. The market's total is a grouped sum, of one row per month: the
-    calendar bounds what is broadcast.
+    window. The market's total is a grouped sum, of one row per month.
     """
     month = month_of(F.col(day))
     market = days.groupBy(month.alias("__market_month")).agg(F.sum("__amount").alias(market_total))
@@ -29,7 +28,7 @@ def spread_month_totals(
         F.sum("__amount").over(Window.partitionBy(*group, month)).alias(group_total),
     )
     same_month = month.eqNullSafe(F.col("__market_month"))
-    return totalled.join(F.broadcast(market), same_month, "left").drop("__market_month")
+    return totalled.join(market, same_month, "left").drop("__market_month")
 
 
 def with_month_totals(

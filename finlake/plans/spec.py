@@ -116,20 +116,35 @@ def _documents(rows: DataFrame, spec: TrustedSpec) -> DataFrame:
     )
 
 
-def type_payloads(rows: DataFrame, spec: TrustedSpec, strict: bool = True) -> DataFrame:
+def type_payloads(
+    rows: DataFrame, spec: TrustedSpec, strict: bool = True, late_errors: str | None = None
+) -> DataFrame:
     """Typed columns of the payloads that hold all required values.
 
     ``strict`` raises on a value that does not fit its type; otherwise it is null
-    and :func:`quarantine` lists the row.
+    and :func:`quarantine` lists the row. With ``late_errors`` a column of that name
+    lists the fields that do not fit, and only key and order columns raise.
     """
+    first = {*spec.key, spec.event_order}
+    errors = []
     texts = _documents(rows, spec).select(
         "*", *(P.text_at("__doc", f.path).alias(_text_name(f)) for f in spec.fields)
     )
     for field in spec.fields:
         if field.name in spec.required:
             texts = texts.where(_scalar(field).isNotNull())
+    if late_errors:
+        for f in spec.fields:
+            if f.name not in first:
+                misfit = _scalar(f).isNotNull() & f.typed(_scalar(f), False).isNull()
+                errors.append(F.when(misfit, F.lit(f.name)))
+    listed = [F.array_compact(F.array(*errors)).alias(late_errors)] if late_errors else []
     return texts.select(
-        *(f.typed(_scalar(f), strict).alias(f.name) for f in spec.fields),
+        *(
+            f.typed(_scalar(f), strict and (not late_errors or f.name in first)).alias(f.name)
+            for f in spec.fields
+        ),
+        *listed,
         *(c for c in rows.columns if c not in spec.schema().names),
     )
 
@@ -176,10 +191,14 @@ def build(
     """
     window = select_window(rows, spec, as_of or run_at.date(), incremental, start_date)
     window = window.select("payload", "_ingested_at", F.xxhash64("payload").alias("__tie"))
-    typed = type_payloads(window, spec, strict)
+    typed = type_payloads(window, spec, strict, late_errors="__misfits" if strict else None)
     order = [spec.event_order] if spec.event_order else []
     newest = [F.col(c).desc_nulls_last() for c in [*order, "_ingested_at", "__tie"]]
     stamp = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
-    return latest(typed, list(spec.key), newest).select(
-        *(f.name for f in spec.fields), stamp.alias(INSERT_DATE)
-    )
+    survivors = latest(typed, list(spec.key), newest)
+    if strict:
+        # Only what enters the table must fit: a correction repairs the record it replaces.
+        message = F.concat(F.lit(f"{spec.name}: values that do not fit: "), F.array_join("__misfits", ", "))
+        fits = F.when(F.size("__misfits") > 0, F.raise_error(message).cast("timestamp")).otherwise(stamp)
+        stamp = fits
+    return survivors.select(*(f.name for f in spec.fields), stamp.alias(INSERT_DATE))

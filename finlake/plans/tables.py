@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -86,10 +87,19 @@ class Lake:
             partition,
             null_safe=null_safe,
             key_fixes_partition=spec.partition_day is None,
+            layout="" if spec.partition_day else f"buckets={self.buckets}",
         )
+        self._register_partitions(spec)
         if check:
             quality.require(self.trusted(spec), spec.checks, spec.name)
 
+    def _register_partitions(self, spec: TrustedSpec) -> None:
+        """Let a described catalog table follow the folders."""
+        table = qualified("trusted", spec.name)
+        if self.spark.catalog.databaseExists("trusted") and self.spark.catalog.tableExists(table):
+            self.spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+            self.spark.catalog.refreshTable(table)
+
     def publish_refined(self, run_at: datetime, check: bool = True) -> None:
         """Rebuild the enriched table and point the three views at the new version.
 
@@ -103,21 +113,32 @@ class Lake:
         enriched = refined.enrich(
             self.trusted(models.RESULTS), self.trusted(models.CALENDAR), self.trusted(models.BENCHMARKS)
         )
-        version = f"{self.path('refined', 'tesouro_leiloes_enriched')}/version={run_at:%Y%m%dT%H%M%S}"
-        enriched.write.mode("overwrite").parquet(version)
+        folder = self.path("refined", "tesouro_leiloes_enriched")
+        name = f"version={run_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        version = f"{folder}/{name}"
+        enriched.write.parquet(version)
         table = self.spark.read.schema(enriched.schema).parquet(version)
         if check:
-            name = "tesouro_leiloes_enriched"
-            quality.require(table, models.REFINED_CHECKS[name], name)
+            checked = {
+                "tesouro_leiloes_enriched": table,
+                "tesouro_leiloes_por_titulo": refined.summarize_by_title(table, ordered=False),
+                "tesouro_leiloes_stress": refined.stressed(table, ordered=False),
+            }
+            for model, rows in checked.items():
+                quality.require(rows, models.REFINED_CHECKS.get(model, []), model)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW refined.tesouro_leiloes_enriched AS SELECT * FROM parquet.`{version}`"
         )
         self.by_title().createOrReplaceTempView("tesouro_leiloes_por_titulo")
         self.stressed().createOrReplaceTempView("tesouro_leiloes_stress")
-        # The previous version stays for queries that still read it.
-        folder = self.path("refined", "tesouro_leiloes_enriched")
-        for old in files.children(self.spark, folder)[:-2]:
-            files.remove(self.spark, f"{folder}/{old}")
+        # By publication, not by run_at: the version before this one stays for queries
+        # that still read it.
+        live = f"{folder}/_live"
+        before = files.read_text(self.spark, live) if files.exists(self.spark, live) else None
+        files.write_text(self.spark, live, name)
+        for old in files.children(self.spark, folder):
+            if old.startswith("version=") and old not in (name, before):
+                files.remove(self.spark, f"{folder}/{old}")
 
     def enriched(self) -> DataFrame:
         return self.spark.table("refined.tesouro_leiloes_enriched")

@@ -16,14 +16,33 @@ def _elements(page: Column | str, key: str) -> Column:
     )
 
 
-def value_records(pages: DataFrame, page: str = "page", out: str = "payload") -> DataFrame:
-    """Records of ``{"value": [...]}`` pages; an empty page gives no rows."""
+def value_records(
+    pages: DataFrame, page: str = "page", out: str = "payload", fail_fast: bool = True
+) -> DataFrame:
+    """Records of ``{"value": [...]}`` pages; an empty page gives no rows.
+
+    A page that is no JSON raises, or, with ``fail_fast=False``, is left out; list those
+    with :func:`unreadable_pages`.
+    """
+    records = _elements(page, "value")
+    if fail_fast:
+        message = F.concat(F.lit("unreadable page: "), F.left(F.col(page), F.lit(200)))
+        records = F.when(_unreadable(page), F.raise_error(message).cast("array<string>")).otherwise(records)
     return pages.select(
         *(name for name in pages.columns if name != page),
-        F.explode(_elements(page, "value")).alias(out),
+        F.explode(records).alias(out),
     )
 
 
+def _unreadable(page: str) -> Column:
+    return F.col(page).isNotNull() & P.parse(page).isNull()
+
+
+def unreadable_pages(pages: DataFrame, page: str = "page") -> DataFrame:
+    """Pages that are no JSON, or repeat a member name."""
+    return pages.where(_unreadable(page))
+
+
 def status_records(
     pages: DataFrame, page: str = "page", out: str = "payload", fail_fast: bool = True
 ) -> DataFrame:

@@ -6,6 +6,9 @@ import re
 
 from pyspark.sql import SparkSession
 
+# Readers skip names that begin with an underscore.
+MARKER = "_finlake_built"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -46,8 +49,52 @@ def has_data(spark: SparkSession, path: str) -> bool:
 
 
 def is_built(spark: SparkSession, path: str) -> bool:
-    """Whether a table has data and its first write was completed."""
-    return exists(spark, f"{path}/_SUCCESS") and has_data(spark, path)
+    """Whether a table's first write was completed, by its own marker.
+
+    The committer's _SUCCESS is not asked for: clusters may turn it off.
+    """
+    return exists(spark, f"{path}/{MARKER}")
+
+
+def mark_built(spark: SparkSession, path: str, layout: str = "") -> None:
+    """Mark a folder as a completely written table of that layout; also adopts older tables."""
+    write_text(spark, f"{path}/{MARKER}", layout)
+
+
+def layout_of(spark: SparkSession, path: str) -> str:
+    return read_text(spark, f"{path}/{MARKER}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _fs(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, from_path = _fs(spark, source)
+    if not fs.rename(from_path, _fs(spark, target)[1]):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def partition_folder(spark: SparkSession, column: str, value) -> str:
+    """Folder name of a partition value, escaped as Spark writes it."""
+    if value is None:
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{column}={utils.escapePathName(str(value))}"
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:

@@ -13,9 +13,6 @@ from finlake.sources import files
 
 ENTITY = "entity"
 
-# Up to this many days a scan names its day folders instead of listing the area.
-MAX_LISTED_DAYS = 62
-
 # Text values: an inferred schema would turn month=01 into the integer 1.
 _DAY_PARTS = ["year", "month", "day"]
 
@@ -50,8 +47,9 @@ def scan(
     """Records landed from ``start`` to ``end``, both included.
 
     One scan covers all entities and days; the date and entity conditions are on
-    partition columns, so other folders are not read. For a short range only its
-    day folders are listed. A day or an entity without files gives no rows. Blank
+    partition columns, so other folders are not read. Month folders of the range are
+    listed, whatever its length, and every file in them counts, also one a stream
+    wrote without committing its batch. A day or an entity without files gives no rows. Blank
     lines are dropped and the rest is stripped; ``_source_file`` tells where each
     record came from.
     """
@@ -86,14 +84,12 @@ def _lines(
     spark: SparkSession, root: str, above: str | None, parts: list[str], start: date, end: date
 ) -> DataFrame:
     """Lines of the files of a date range, with their folder values and file path."""
-    day_count = (end - start).days + 1
-    if day_count <= MAX_LISTED_DAYS:
-        prefix = f"{root}/{above}" if above else root
-        days = [start + timedelta(days=i) for i in range(day_count)]
-        patterns = [f"{prefix}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
-        paths = [pattern for pattern in patterns if files.any_match(spark, pattern)]
-    else:
-        paths = [root] if files.exists(spark, root) else []
+    prefix = f"{root}/{above}" if above else root
+    months = range(start.year * 12 + start.month - 1, end.year * 12 + end.month)
+    # Day folders are named, not their month: a folder below the root never carries the
+    # file list of a stream's sink, so all ranges see the same files.
+    patterns = [f"{prefix}/year={m // 12:04d}/month={m % 12 + 1:02d}/day=*" for m in months]
+    paths = [pattern for pattern in patterns if files.any_match(spark, pattern)]
     if not paths:
         return spark.createDataFrame(
             [], T.StructType([*_schema(parts), T.StructField("_source_file", T.StringType())])
@@ -117,6 +113,27 @@ def _records(lines: DataFrame, parts: list[str], repair_utf8: bool) -> DataFrame
     )
 
 
+def expire(spark: SparkSession, root: str, today: date, keep_days: int = 90) -> list[str]:
+    """Remove day folders older than ``keep_days``; returns those removed."""
+    oldest, removed = today - timedelta(days=keep_days), []
+
+    def walk(folder: str, parts: dict[str, str]) -> None:
+        for name in files.children(spark, folder):
+            key, _, value = name.partition("=")
+            if key in ("year", "month", "day") and value.isdigit():
+                found = {**parts, key: value}
+                if key != "day":
+                    walk(f"{folder}/{name}", found)
+                elif date(*(int(found[k]) for k in _DAY_PARTS)) < oldest:
+                    files.remove(spark, f"{folder}/{name}")
+                    removed.append(f"{folder}/{name}")
+            elif not parts and not name.startswith(("_", ".")):
+                walk(f"{folder}/{name}", parts)  # an entity
+
+    walk(root.rstrip("/"), {})
+    return removed
+
+
 def with_path_parts(records: DataFrame, moment: str, hourly: bool = False) -> DataFrame:
     """Add the zero-padded folder values of a date or timestamp column."""
     return records.withColumns(path_parts(moment, hour=hourly))

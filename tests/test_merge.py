@@ -136,15 +136,55 @@ def test_interrupted_merge_is_finished_by_the_next(spark, folder, monkeypatch):
     assert table(spark, path) == [(1, D1, "a2"), (2, D2, "b"), (3, D1, "c"), (4, D2, "d")]
 
 
-def test_interrupted_first_build_is_done_again(spark, folder):
+def test_interrupted_first_build_is_done_again(spark, folder, monkeypatch):
     path = f"{folder}/t"
-    merge_days(spark, path, [(1, D1, "partial")])
-    os.remove(f"{path}/_SUCCESS")
-    assert not files.is_built(spark, path)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "mark_built", lost)
+        with pytest.raises(RuntimeError):
+            merge_days(spark, path, [(1, D1, "partial")])
+    assert not files.is_built(spark, path) and not files.exists(spark, path)
     merge_days(spark, path, [(2, D2, "b"), (3, D3, "c")])
     assert table(spark, path) == [(2, D2, "b"), (3, D3, "c")]
 
 
+def test_merge_without_success_marker(spark, folder):
+    path = f"{folder}/t"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        merge_days(spark, path, [(1, D1, "a")])
+        merge_days(spark, path, [(2, D2, "b"), (1, D1, "a2")])
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert not os.path.exists(f"{path}/_SUCCESS")
+    assert table(spark, path) == [(1, D1, "a2"), (2, D2, "b")]
+
+
+def test_data_without_marker_and_other_layout_are_refused(spark, folder):
+    path = f"{folder}/t"
+    merge_days(spark, path, [(1, D1, "a")])
+    with pytest.raises(ValueError, match="layout"):
+        merge.merge_into(spark, path, frame(spark, [(2, D1, "b")], DAY_SCHEMA), "id", "day", layout="buckets=8")
+    os.remove(f"{path}/{files.MARKER}")
+    with pytest.raises(ValueError, match="no mark"):
+        merge_days(spark, path, [(2, D2, "b")])
+    files.mark_built(spark, path)
+    merge_days(spark, path, [(2, D2, "b")])
+    assert table(spark, path) == [(1, D1, "a"), (2, D2, "b")]
+
+
+def test_emptied_partition_with_escaped_name_is_removed(spark, folder):
+    path = f"{folder}/t"
+    for rows in ([(1, "a:b/c", "x"), (2, "d", "y")], [(1, "d", "z")]):
+        merge.merge_into(spark, path, frame(spark, rows, "id bigint, part string, v string"), "id", "part")
+    found = spark.read.schema("id bigint, v string, part string").parquet(path).orderBy("id").collect()
+    assert [(r.id, r.part, r.v) for r in found] == [(1, "d", "z"), (2, "d", "y")]
+
+
 def test_schema_drift_is_refused(spark, folder):
     path = f"{folder}/t"
     merge_days(spark, path, [(1, D1, "a")])

@@ -86,12 +86,12 @@ def test_no_window_of_auctions_spans_a_whole_group(spark, folder):
     assert not re.search(r"Exchange SinglePartition(?!.*RoundRobin)", plan(frame))
 
 
-def test_only_the_month_table_is_broadcast_by_hint(spark):
+def test_nothing_is_broadcast_by_hint(spark):
     frame = totals.with_month_totals(
         S.auctions(spark, SF), ["titulo"], "data_leilao", refined.total_amount(), "a", "b"
     )
     hints = [line for line in frame._jdf.queryExecution().analyzed().toString().splitlines() if "Hint" in line]
-    assert len(hints) == 1 and "broadcast" in hints[0].lower()
+    assert not hints
 
 
 def test_summary_and_checks_aggregate_before_the_shuffle(spark):

@@ -228,5 +228,11 @@ def test_published_views_read_the_newest_version(spark, folder):
         assert spark.sql("SELECT num_leiloes FROM tesouro_leiloes_por_titulo").first()[0] == len(numbers)
     import os
 
-    versions = sorted(os.listdir(f"{folder}/refined/tesouro_leiloes_enriched"))
-    assert versions == ["version=20240602T000000", "version=20240603T000000"]
+    def versions():
+        found = os.listdir(f"{folder}/refined/tesouro_leiloes_enriched")
+        return sorted(name.split("-")[0] for name in found if name.startswith("version="))
+
+    assert versions() == ["version=20240602T000000", "version=20240603T000000"]
+    lake.publish_refined(datetime(2024, 6, 1))  # an older run published last is the live one
+    assert versions() == ["version=20240601T000000", "version=20240603T000000"]
+    assert lake.enriched().count() == 3

@@ -18,9 +18,6 @@ from workloads import standins as S
 RUN_AT = datetime(2024, 2, 5, 3, 30)
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
 
-_landed: dict[tuple[str, str], str] = {}
-
-
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as landing records of the entity of their type, some lines padded or blank."""
     events = S.read(spark, sf_dir, "events")
@@ -32,13 +29,10 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> str:
-    """Landing area with all events, written once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
-        root = job_dir(spark, "landing")
-        landing.write(event_records(spark, sf_dir), root)
-        _landed[key] = root
-    return _landed[key]
+    """Landing area with all events, written for this call."""
+    root = job_dir(spark, "landing")
+    landing.write(event_records(spark, sf_dir), root)
+    return root
 
 
 def _values(rows: DataFrame, *others: Column | str) -> DataFrame:

@@ -18,20 +18,14 @@ from workloads.trusted import raw_auctions
 # Small buckets, so that the test tables cross many bucket borders.
 BUCKET_ROWS = 2_000
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
-
-
 def stored(
     spark: SparkSession, sf_dir: str, name: str, make: Callable[[SparkSession, str], DataFrame]
 ) -> DataFrame:
-    """A derived table, written once per session: the refined models read tables."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _stored:
-        path = job_dir(spark, name)
-        frame = make(spark, sf_dir)
-        frame.write.parquet(path)
-        _stored[key] = spark.read.schema(frame.schema).parquet(path)
-    return _stored[key]
+    """A derived table, written for this call: the refined models read tables."""
+    path = job_dir(spark, name)
+    frame = make(spark, sf_dir)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def _auctions(spark, sf_dir):
