@@ -14,6 +14,8 @@ from finlake.session import job_dir
 from finlake.sources import files
 
 END_ID = 2
+# Rows of an Arrow batch: a worker holds that many whole texts at once.
+BATCH_ROWS = 1_000
 
 
 def stored(frame: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -32,6 +34,9 @@ def drop_table(spark: SparkSession, path: str) -> None:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A shared table; whole texts then reach Python in batches of bounded rows."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -73,8 +78,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[[*range(65, 91), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]] += 32
 # Words of up to 16 letters are kept in a table of this many places, each holding the
 # last word that fell there; its ids lie in a pool that starts anew when it is full.
-_PLACE_BITS = 22
-_POOL = 1 << 24
+_PLACE_BITS = 20
+_POOL = 1 << 22
 _WORD = 16
 # Masks that keep the first n bytes of a word's two halves.
 _LOW = np.array([(1 << 8 * min(n, 8)) - 1 for n in range(_WORD + 1)], np.uint64)
