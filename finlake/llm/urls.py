@@ -106,8 +106,8 @@ def models(grams: DataFrame, order: int) -> DataFrame:
             sums = own.agg(
                 *[F.sum(c).alias(f"n_{c}") for c in ("accepted", "rejected")],
                 *[F.count(F.when(F.col(c) > 0, 1)).alias(f"t_{c}") for c in ("accepted", "rejected")],
-            ).withColumn("context", F.lit(""))
-            own = own.withColumn("context", F.lit("")).join(sums, "context")
+            ).first()
+            own = own.withColumns({name: F.lit(value or 0) for name, value in sums.asDict().items()})
             own = own.withColumn("p_accepted", F.lit(1.0 / ALPHABET)).withColumn("p_rejected", F.lit(1.0 / ALPHABET))
         else:
             for c in ("accepted", "rejected"):
