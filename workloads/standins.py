@@ -147,8 +147,18 @@ res AS (
 )"""
 
 
+def period_title() -> Column:
+    """Bond kind of an order's period; one kind is named unlike its auctions."""
+    return F.when(F.col("o_orderpriority") == "5-LOW", "5-NONE").otherwise(F.col("o_orderpriority"))
+
+
+def entry_type() -> Column:
+    """Auction type of an order's calendar entry; dear orders' entries fit no auction."""
+    return F.when(F.col("o_totalprice") >= 150000, "Adiada").otherwise(auction_type())
+
+
 def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark periods, of three lengths; one bond kind has none."""
+    """Benchmark periods, of three lengths; one bond kind has none under its own name."""
     start = F.to_date(F.date_trunc("quarter", "o_orderdate"))
     days = (
         F.when(F.col("o_orderstatus") == "F", 60)
@@ -157,10 +167,9 @@ def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         read(spark, sf_dir, "orders")
-        .where(F.col("o_orderpriority") != "5-LOW")
         .select(
             F.col("o_orderstatus").alias("benchmark"),
-            F.col("o_orderpriority").alias("titulo"),
+            period_title().alias("titulo"),
             maturity().alias("data_vencimento"),
             start.alias("data_inicio"),
             F.date_add(start, days).alias("data_termino"),
@@ -171,26 +180,26 @@ def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PERIODS_SQL = """
 bench AS (
-    SELECT DISTINCT o_orderstatus AS benchmark, o_orderpriority AS titulo,
+    SELECT DISTINCT o_orderstatus AS benchmark,
+           CASE WHEN o_orderpriority = '5-LOW' THEN '5-NONE' ELSE o_orderpriority END AS titulo,
            make_date(year(o_orderdate) + 3, 1, 1) AS data_vencimento,
            CAST(date_trunc('quarter', o_orderdate) AS DATE) AS data_inicio,
            CAST(date_trunc('quarter', o_orderdate) AS DATE)
                + CASE o_orderstatus WHEN 'F' THEN 60 WHEN 'O' THEN 120 ELSE 200 END AS data_termino
-    FROM orders WHERE o_orderpriority <> '5-LOW'
+    FROM orders
 )"""
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar entries: the slots of cheaper orders, several benchmarks per slot."""
+    """Calendar entries, several benchmarks per slot; those of dear orders fit no auction of theirs."""
     return (
         read(spark, sf_dir, "orders")
-        .where(F.col("o_totalprice") < 150000)
         .select(
             F.col("o_orderstatus").alias("benchmark"),
             F.col("o_orderpriority").alias("titulo"),
             maturity().alias("data_vencimento"),
             F.to_date("o_orderdate").alias("data_leilao"),
-            auction_type().alias("tipo_leilao"),
+            entry_type().alias("tipo_leilao"),
         )
         .distinct()
     )
@@ -201,8 +210,9 @@ cal AS (
     SELECT DISTINCT o_orderstatus AS benchmark, o_orderpriority AS titulo,
            make_date(year(o_orderdate) + 3, 1, 1) AS data_vencimento,
            CAST(o_orderdate AS DATE) AS data_leilao,
-           CASE WHEN o_custkey % 4 = 0 THEN 'Troca' ELSE 'Venda' END AS tipo_leilao
-    FROM orders WHERE o_totalprice < 150000
+           CASE WHEN o_totalprice >= 150000 THEN 'Adiada'
+                WHEN o_custkey % 4 = 0 THEN 'Troca' ELSE 'Venda' END AS tipo_leilao
+    FROM orders
 )"""
 
 

@@ -238,7 +238,8 @@ def _orders_with_parts(spark, sf_dir) -> DataFrame:
     return S.read(spark, sf_dir, "orders").select(
         "*",
         S.maturity().alias("due"),
-        S.auction_type().alias("kind"),
+        S.period_title().alias("period_title"),
+        S.entry_type().alias("kind"),
         F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("start"),
         F.when(F.col("o_orderstatus") == "F", 60)
         .when(F.col("o_orderstatus") == "O", 120)
@@ -249,10 +250,10 @@ def _orders_with_parts(spark, sf_dir) -> DataFrame:
 
 def raw_benchmarks(spark, sf_dir) -> DataFrame:
     """One payload per order: a period is repeated by all orders of its quarter."""
-    orders = _orders_with_parts(spark, sf_dir).where(F.col("o_orderpriority") != "5-LOW")
+    orders = _orders_with_parts(spark, sf_dir)
     members = {
         "BENCHMARK": F.col("o_orderstatus"),
-        "TÍTULO": F.col("o_orderpriority"),
+        "TÍTULO": F.col("period_title"),
         "VENCIMENTO": _text_day(F.col("due")),
         "INÍCIO": _text_day(F.col("start")),
         "TERMINO": _text_day(F.expr("date_add(start, days)")),
@@ -261,7 +262,7 @@ def raw_benchmarks(spark, sf_dir) -> DataFrame:
 
 
 def raw_calendar(spark, sf_dir) -> DataFrame:
-    orders = _orders_with_parts(spark, sf_dir).where(F.col("o_totalprice") < 150000)
+    orders = _orders_with_parts(spark, sf_dir)
     members = {
         "BENCHMARK": F.col("o_orderstatus"),
         "TITULO": F.col("o_orderpriority"),
