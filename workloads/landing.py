@@ -16,7 +16,6 @@ from finlake.sources import envelopes, landing, raw
 from workloads import standins as S
 
 RUN_AT = datetime(2024, 2, 5, 3, 30)
-FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as landing records of the entity of their type, some lines padded or blank."""
@@ -28,6 +27,17 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.with_path_parts(records, "ts")
 
 
+def event_span(spark: SparkSession, sf_dir: str) -> tuple[date, date, list[str]]:
+    """First and last day of the events and their types, one endpoint each.
+
+    An empty table has one endpoint, without files.
+    """
+    events = S.read(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    found = events.agg(F.min(day), F.max(day), F.sort_array(F.collect_set("event_type"))).first()
+    return found[0] or RUN_AT.date(), found[1] or RUN_AT.date(), found[2] or ["events"]
+
+
 def landed_events(spark: SparkSession, sf_dir: str) -> str:
     """Landing area with all events, written for this call."""
     root = job_dir(spark, "landing")
@@ -91,14 +101,16 @@ def landing_roundtrip(spark, sf_dir):
     root = job_dir(spark, "roundtrip")
     for _ in range(2):
         landing.write(event_records(spark, sf_dir), root)
-    return _values(landing.scan(spark, root, FIRST, LAST), landing.ENTITY, "year", "month", "day")
+    first, last, _ = event_span(spark, sf_dir)
+    return _values(landing.scan(spark, root, first, last), landing.ENTITY, "year", "month", "day")
 
 
 LANDING_ROUNDTRIP = f"SELECT {_EVENT}, event_type AS entity, {_PARTS} FROM events"
 
 
 def raw_wrap(spark, sf_dir):
-    rows = landing.scan(spark, landed_events(spark, sf_dir), FIRST, LAST)
+    first, last, _ = event_span(spark, sf_dir)
+    rows = landing.scan(spark, landed_events(spark, sf_dir), first, last)
     path = job_dir(spark, "raw")
     raw.append(raw.wrap(rows, RUN_AT, landing.ENTITY), path)
     stored = raw.read(spark, path, multiplexed=True)
@@ -161,8 +173,8 @@ FROM trade_rows WHERE load_date >= DATE '2024-04-10' - 90 GROUP BY load_date
 def union_endpoints(spark, sf_dir):
     """Raw rows of each endpoint's own scan, united into one table."""
     root = landed_events(spark, sf_dir)
-    names = ["click", "error", "purchase", "signup", "view"]
-    scans = [landing.scan(spark, root, FIRST, LAST, entities=[name]) for name in names]
+    first, last, names = event_span(spark, sf_dir)
+    scans = [landing.scan(spark, root, first, last, entities=[name]) for name in names]
     wrapped = [raw.wrap(rows, RUN_AT, F.lit(name)) for name, rows in zip(names, scans)]
     return _values(reduce(DataFrame.unionByName, wrapped), raw.ENDPOINT)
 
