@@ -5,9 +5,11 @@ are BM25 weights divided by their entry's total, so a score is the share of an e
 passage covers and one threshold fits all entries. Every document is cut into
 overlapping passages, each passage is a query, and every entry at or above the threshold
 is retrieved: passages for which no block of entries can reach the threshold, by the sum
-of its terms' block maxima, fall out in one vectorised step; the others go through WAND. Retrieved items are
-verified on the document by shared five-word shingles, for the whole item and for its
-question and answer.
+of its terms' block maxima, fall out in one vectorised step; the others go through WAND.
+A document may hold an item in pieces that lie passages apart, so items of which it has
+enough hashed shingles are retrieved too, whatever its passages score. Retrieved items are
+verified on the document by shared five-word shingles: ``OVERLAP`` of a whole item's
+shingles convicts. The overlaps of its question and answer are only reported.
 
 The index is built and searched in shards of bounded size, one scan of the documents per
 shard, so what is sent to executors never grows with the benchmark.
@@ -38,7 +40,6 @@ STRIDE = 32
 THRESHOLD = 0.6
 SHINGLE = 5
 OVERLAP = 0.8
-PART_OVERLAP = 0.5
 # Postings of a block within a term's list, and entries of a block in the table of bounds.
 BLOCK = 16
 BLOCK_ENTRIES = 4
@@ -48,6 +49,8 @@ STEPS = 65_535 // PASSAGE_WORDS
 SHARD_POSTINGS = 32_000
 # Words whose bounds are added up at once.
 SLICE_WORDS = 30_000
+# Odd factor of the polynomial over word numbers that hashes a shingle.
+FACTOR = 0x9E3779B97F4A7C15
 
 _PUNCTUATION = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
 
@@ -123,6 +126,39 @@ class Index:
             own, asked = shingles(words), question_words(text)
             last_question = max(0, asked - SHINGLE + 1)
             self.parts.append((own, set(own[:last_question]) or set(own), set(own[last_question:]) or set(own)))
+        self.shingle_counts = np.array([len(set(own)) for own, _, _ in self.parts])
+        self._hash_shingles()
+
+    def _hash_shingles(self) -> None:
+        """Hashes of the shard's shingles, and for each the items that have it.
+
+        The factor is changed until different shingles have different hashes, so no item
+        has fewer hashes than shingles; a foreign shingle that hits one is seen by the check.
+        """
+        items_of: dict[bytes, list[int]] = {}
+        for item, (own, _, _) in enumerate(self.parts):
+            for shingle in set(own):
+                items_of.setdefault(shingle, []).append(item)
+        self.lengths = sorted({min(len(w), SHINGLE) for w in self.words})
+        ids = [np.array([self.term_id[t] for t in s.split()], dtype=np.uint64) for s in items_of]
+        self.factor = FACTOR
+        while True:
+            hashes = np.array([self._hashes(x, len(x))[0] for x in ids], dtype=np.uint64)
+            self.hashes, at = np.unique(hashes, return_index=True)
+            if len(self.hashes) == len(hashes):
+                break
+            self.factor = (self.factor + 2) % 2**64
+        held = list(items_of.values())
+        self.hash_first = np.concatenate([[0], np.cumsum([len(held[k]) for k in at])])
+        self.hash_items = np.array([i for k in at for i in held[k]], dtype=np.int64)
+
+    def _hashes(self, ids: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of all runs of ``length`` word numbers, modulo 2**64."""
+        runs = len(ids) - length + 1
+        total = np.full(runs, length, np.uint64)
+        for k in range(length):
+            total = total * np.uint64(self.factor) + ids[k : k + runs].astype(np.uint64) + np.uint64(1)
+        return total
 
     def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """Entries scoring the threshold or more for distinct terms, by block-max WAND."""
@@ -222,6 +258,47 @@ class Index:
                 best[doc][item] = max(score, best[doc].get(item, 0.0))
         return best
 
+    def sharing(self, docs: list[np.ndarray]) -> list[list[int]]:
+        """Per document, items of whose shingles it has ``OVERLAP`` or more, wherever they stand."""
+        found: list[list[int]] = [[] for _ in docs]
+        of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        ids = np.concatenate(docs)
+        unknown = np.concatenate([[0], np.cumsum(ids == len(self.term_id))])
+        hits = []
+        for length in self.lengths:
+            if len(ids) < length:
+                continue
+            within = of[: len(ids) - length + 1] == of[length - 1 :]
+            at = np.flatnonzero(within & (unknown[length:] == unknown[:-length]))
+            own = self._hashes(ids, length)[at]
+            place = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
+            hit = self.hashes[place] == own
+            hits.append(of[at[hit]] * len(self.hashes) + place[hit])
+        both = np.unique(np.concatenate(hits)) if hits else np.empty(0, np.int64)
+        doc, place = both // len(self.hashes), both % len(self.hashes)
+        for k in np.unique(doc).tolist():
+            own = place[slice(*np.searchsorted(doc, [k, k + 1]))]
+            sizes = self.hash_first[own + 1] - self.hash_first[own]
+            at = np.repeat(self.hash_first[own + 1] - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
+            shared = np.bincount(self.hash_items[at], minlength=len(self.items))
+            found[k] = np.flatnonzero(shared / self.shingle_counts >= OVERLAP).tolist()
+        return found
+
+    def score(self, doc: np.ndarray, item: int) -> float:
+        """The largest share of an entry of the item that a passage of the document covers."""
+        own = np.flatnonzero(np.array(self.item_of)[self.entry] == item)
+        terms, row = np.unique(np.searchsorted(self.first, own, side="right") - 1, return_inverse=True)
+        entries, column = np.unique(self.entry[own], return_inverse=True)
+        weights = np.zeros((len(terms), len(entries)))
+        weights[row, column] = self.weight[own]
+        row_of = np.full(len(self.term_id) + 1, -1)
+        row_of[terms] = np.arange(len(terms))
+        rows, best = row_of[doc], 0.0
+        for start in range(0, len(doc), STRIDE):
+            passage = np.unique(rows[start : start + PASSAGE_WORDS])
+            best = max(best, float(weights[passage[passage >= 0]].sum(axis=0).max()))
+        return best
+
     def _verified(self, words: list[bytes], best: dict[int, float]) -> list[tuple[int, float, float, float, float]]:
         held = set(shingles(words)) if len(words) >= SHINGLE else set()
         found = []
@@ -233,7 +310,7 @@ class Index:
                 held = held | {s for s in own_set if b" " + s + b" " in joined}
             whole = len(own_set & held) / len(own_set)
             asked, answered = len(question & held) / len(question), len(answer & held) / len(answer)
-            if whole >= OVERLAP and min(asked, answered) >= PART_OVERLAP:
+            if whole >= OVERLAP:
                 found.append((self.items[item][0], score, whole, asked, answered))
         return found
 
@@ -248,6 +325,8 @@ class Index:
             unknown = itertools.repeat(len(self.term_id))
             ids = [np.array(list(map(self.term_id.get, w, unknown)), dtype=np.int64) for w in words]
             best = self.candidates(ids, threshold) if ids else []
+            for own, doc, items in zip(best, ids, self.sharing(ids) if ids else [], strict=True):
+                own.update({item: self.score(doc, item) for item in items if item not in own})
             found.extend(self._verified(w, b) if b else [] for w, b in zip(words, best, strict=True))
             words.clear()
             size = 0

@@ -214,6 +214,26 @@ def test_decontamination_equals_containment(spark, documents):
         assert len(own & held) / len(own) >= decontaminate.OVERLAP
 
 
+def test_decontamination_finds_every_near_copy(index):
+    noise = [b"noise%d" % k for k in range(150)]
+    texts, last_edits, apart = [], [], []
+    for words in index.words[:8]:
+        for k in range(len(words)):
+            texts.append(noise[:40] + words[:k] + [b"edited"] + words[k + 1 :] + noise[:40])
+        last_edits.append(words[:-1])
+        third = len(words) // 3 + 1
+        apart.append(words[:third] + noise + words[third : 2 * third] + noise + words[2 * third :])
+    texts += last_edits + apart
+    held = [set(decontaminate.shingles(t)) for t in texts]
+    items = [(i, set(decontaminate.shingles(w))) for (i, _), w in zip(index.items, index.words, strict=True)]
+    expected = [{i for i, own in items if len(own & h) / len(own) >= decontaminate.OVERLAP} for h in held]
+    found = index.matches([b" ".join(t).decode() for t in texts], decontaminate.THRESHOLD)
+    assert [{m[0] for m in f} for f in found] == expected
+    assert all(expected[-16:-8]) and any(expected[-8:]) and any(m[4] < 0.5 for f in found for m in f)
+    item, doc = 0, np.array([index.term_id.get(w, len(index.term_id)) for w in texts[0]])
+    assert abs(index.score(doc, item) - index.candidates([doc], 0.3)[0][item]) < 1e-9
+
+
 def test_decontamination_edge_cases(spark, odd):
     item = "what is the capital of the small country? the capital is the old town by the sea"
     benchmark = spark.createDataFrame(
