@@ -1,9 +1,10 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols (insult with its weight, threat, target, negation, reported speech,
-clause end, other). Five transducers read the symbols of a clause: insult and threat emit
-their weights, a target near an insult raises it and is what makes a threat count,
-negation shortly before lowers it, and a verb of reporting earlier in the clause lowers
+clause end, other). A first machine reads a clause from its end and marks the insults and
+threats that a target follows. Five transducers then read the symbols forwards: insult and
+threat emit their weights, a target near an insult, before or after it, raises it and is
+what makes a threat count, negation shortly before lowers it, and a verb of reporting earlier in the clause lowers
 what follows. They are composed into one machine, which scores matched clauses; isolated
 words only count as part of a clause. Clause scores of the whole text are turned into a
 probability by a logistic model.
@@ -13,7 +14,8 @@ training documents. Both the words and the logistic model are fitted on at most
 ``SAMPLE`` labelled rows whose crc32 of doc_id is no multiple of five.
 
 Defined results: null and empty texts get the score of a text without matches; without
-training labels of both kinds every score is 0; repeated rows are scored alike; an empty
+training labels of both kinds every score is 0; without learned insults threats still
+count, and if no training row holds a match every score is the share of toxic rows; repeated rows are scored alike; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -40,6 +42,10 @@ LEXICON = 3_000
 PREFIXES = range(4, 9)
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "insult", "threat", "target", "negation", "report", "other"
+# Insults and threats that a target follows, and how many symbols a target may be away.
+AIMED = {INSULT: "aimed insult", THREAT: "aimed threat"}
+REACH = {INSULT: 4, THREAT: 6}
+MATCHES = (*AIMED, *AIMED.values())
 
 # Small closed word lists of English, German, French and Spanish.
 THREATS = "kill hurt destroy beat burn töten verletzen schlagen tuer frapper brûler matar golpear quemar"
@@ -85,16 +91,36 @@ def _countdown(reach: int, trigger: str, near: float, far: float, of: tuple[str,
     return Transducer(0, step)
 
 
+def _near_target(of: str, near: float, far: float) -> Transducer:
+    """Symbols ``of`` get ``near`` if a target is in reach before or after them, else ``far``."""
+    before = _countdown(REACH[of], TARGET, near, far, (of,))
+
+    def step(state, symbol):
+        state, factor = before.step(state, symbol)
+        return state, near if symbol == AIMED[of] else factor
+
+    return Transducer(before.start, step)
+
+
+def aimed(symbols: list[tuple[str, float]]) -> list[tuple[str, float]]:
+    """The symbols of a clause, read from its end, with those marked that a target follows in reach."""
+    marked, away = [], max(REACH.values()) + 1
+    for symbol, weight in reversed(symbols):
+        marked.append((AIMED[symbol] if away <= REACH.get(symbol, 0) else symbol, weight))
+        away = 1 if symbol == TARGET else away + 1
+    return marked[::-1]
+
+
 def _after(trigger: str, factor: float) -> Transducer:
     """Once the trigger was seen, the rest of the clause is weighted by ``factor``."""
     return Transducer(False, lambda state, symbol: (state or symbol == trigger, factor if state else 1.0))
 
 
 GRAMMAR = (
-    Transducer(None, lambda state, symbol: (None, 1.0 if symbol in (INSULT, THREAT) else 0.0))
-    @ _countdown(4, TARGET, 1.5, 1.0, (INSULT,))
-    @ _countdown(6, TARGET, 1.5, 0.0, (THREAT,))
-    @ _countdown(3, NEGATION, 0.4, 1.0, (INSULT, THREAT))
+    Transducer(None, lambda state, symbol: (None, 1.0 if symbol in MATCHES else 0.0))
+    @ _near_target(INSULT, 1.5, 1.0)
+    @ _near_target(THREAT, 1.5, 0.0)
+    @ _countdown(3, NEGATION, 0.4, 1.0, MATCHES)
     @ _after(REPORT, 0.5)
 )
 
@@ -108,7 +134,7 @@ class Machine:
 
     def clause(self, symbols: list[tuple[str, float]]) -> float:
         state, total = self.grammar.start, 0.0
-        for symbol, weight in symbols:
+        for symbol, weight in aimed(symbols):
             key = (state, symbol)
             if key not in self.table:
                 self.table[key] = self.grammar.step(state, symbol)
@@ -169,8 +195,9 @@ class Scorer:
         return [float(np.log1p(total)), float(np.log1p(most)), float(bool(scores)), float(np.log1p(total / (1 + size)))]
 
 
-def learned_words(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    """Insult words and beginnings of words with weights, from rows (text, label)."""
+def learned_words(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]] | None:
+    """Insult words and beginnings of words with weights, from rows (text, label); None without
+    rows of both labels."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,7 +216,7 @@ def learned_words(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
     sizes = sample.groupBy("label").count().collect()
     rows = {r["label"]: r["count"] for r in sizes}
     if not rows.get(0) or not rows.get(1):
-        return {}, {}
+        return None
     odds = F.log((F.col("toxic") + 0.1) / rows[1]) - F.log((F.col("clean") + 0.1) / rows[0])
     best = counts.where(F.col("toxic") >= LEAST_ROWS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
     best = best.orderBy(F.desc("toxic"), "term").limit(LEXICON).collect()
@@ -201,10 +228,10 @@ def learned_words(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE):
     """(scorer, logistic model), or None without labels of both kinds."""
     sample, _ = common.stored(quality.training_sample(docs, labels, "toxic", size), "toxicity-sample")
-    words, prefixes = learned_words(sample)
-    if not words and not prefixes:
+    learned = learned_words(sample)
+    if learned is None:
         return None
-    scorer = Scorer(words, prefixes)
+    scorer = Scorer(*learned)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def run(texts: pd.Series) -> pd.Series:

@@ -329,6 +329,28 @@ def test_toxicity_grammar():
     assert score.clauses("Blödmann; ok") == [3.0] and score.clauses(None) == [] and score.clauses("idiotic") == []
 
 
+def test_toxicity_targets_before_and_after():
+    score = toxicity.Scorer({"idiot": 2.0}, {})
+    assert score.clauses("I will kill you.") == [1.5] and score.clauses("kill time") == [0.0]
+    assert score.clauses("I will hurt them") == [1.5] and score.clauses("you will kill him") == [1.5]
+    assert score.clauses("idiot, all of you") == [3.0] and score.clauses("idiot, one of all of you") == [2.0]
+    assert score.clauses("kill a b c d e you; kill a b c d e f you; kill. You") == [1.5, 0.0, 0.0]
+    assert score.clauses("I will not kill you")[0] == pytest.approx(0.6)
+    assert score.clauses("kill you, hurt time and more of all that there is") == [3.0]
+    assert score.features("I will kill you") != score.features("plain") == score.features("kill time")
+
+
+def test_toxicity_keeps_grammar_without_lexicon(spark):
+    rows = [(k, f"w{k} I will kill you" if k % 2 else f"w{k} kill time", k % 2) for k in range(100)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([r[::2] for r in rows], "doc_id long, toxic int")
+    sparse = labels.where("doc_id < 6 or toxic = 0")  # too few toxic rows to learn a word from
+    model = toxicity.fit(docs, sparse)
+    assert model is not None and not model[0].words and not model[0].prefixes
+    found = docs.select("doc_id", toxicity.toxicity(model, F.col("text")).alias("p")).collect()
+    assert min(r["p"] for r in found if r["doc_id"] % 2) > max(r["p"] for r in found if r["doc_id"] % 2 == 0)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     rows = {r["doc_id"]: r for r in toxicity.op5_toxicity(spark, sf).collect()}
