@@ -2,7 +2,8 @@
 
 Documents are dealt to ranges of ascending doc_id, tokenized, and cut into shards of
 about a million ids. Each shard replaces frequent pairs of neighbouring ids by
-nonterminals, round after round, and keeps the rules with the number of ids each
+nonterminals, round after round until no pair occurs ``LEAST_COUNT`` times or the rules
+are used up, and keeps the rules with the number of ids each
 expands to. No rule reaches over a document's end, so a document is a run of symbols
 and any id inside it is found by adding up expansion lengths.
 
@@ -19,6 +20,7 @@ texts' hashes; an empty table gives an empty file set and no rows.
 
 from __future__ import annotations
 
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -36,6 +38,7 @@ MAGIC = b"RPR2"
 HEAD = struct.Struct("<4s7I2Q")
 SHARD_IDS = 1 << 20
 VOCABULARY = 49_408
+# Rounds the rules are shared out over; later rounds may use all that are left.
 ROUNDS = 5
 # With the vocabulary's 49,408 ids this many rules still fit two-byte symbols.
 MOST_RULES = 65_536 - VOCABULARY
@@ -101,7 +104,7 @@ def compress(
         ends[np.unique(seq[np.cumsum(doc_tokens) - 1])] = True
     rules: list[np.ndarray] = []
     first, left_over = vocabulary, most_rules
-    for n in range(rounds):
+    for n in itertools.count():
         if len(seq) < 2 or left_over <= 0:
             break
         room = max(1, left_over // max(1, min(3, rounds - n)))

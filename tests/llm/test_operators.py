@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -85,6 +86,30 @@ def test_repair_replaces_pairs_and_empty_table(spark, odd, folder):
     assert repair.read(spark, f"{folder}/none").count() == 0
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    one = np.concatenate([np.random.default_rng(1).permutation(40_000)[:999], [common.END_ID]]).astype("<u4")
+    ids, docs = np.tile(one, 100), np.full(100, 1000)
+    seq, rules, lengths, _ = repair.compress(ids, docs)
+    assert len(seq) == 100 and max(lengths) == 1000 and len(rules) > repair.ROUNDS
+    payload = repair.to_payload(list(range(100)), docs, ids)
+    assert (repair.Shard(payload).ids() == ids).all() and (repair.Shard(payload).document(7, 3, 990) == one[3:990]).all()
+    mixed = np.random.default_rng(2).zipf(1.5, 30_000).clip(1, 900).astype("<u4")
+    mixed[99::100] = common.END_ID
+    seq, rules, _, _ = repair.compress(mixed, np.full(300, 100))
+    assert len(seq) < len(mixed)
+    known = [*range(repair.VOCABULARY), *np.concatenate(rules)[:, 1]]
+
+    def last(symbol):
+        while symbol >= repair.VOCABULARY:
+            symbol = known[symbol]
+        return symbol
+
+    free = [(a, b) for a, b in zip(seq[:-1].tolist(), seq[1:].tolist(), strict=True) if last(a) != common.END_ID]
+    assert max(Counter(free).values()) < repair.LEAST_COUNT
+    rules = repair.compress(ids, docs, most_rules=700)[1]
+    assert sum(map(len, rules)) == 700
+
+
 def test_packing_is_whole(spark, odd):
     for docs, texts in ((odd, [r[1] for r in ODD]), (spark.read.parquet(f"{SF}/documents.parquet"), None)):
         packed = packing.pack(docs, with_ids=True).toPandas()
