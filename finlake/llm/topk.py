@@ -1,15 +1,18 @@
 """Exact top-k inner products by ball-tree branch and bound, shard by shard.
 
-Vectors become integers floor(64 x) and are dealt to shards of bounded size by a hash;
+Vectors become integers floor(64 x), held in doubles, and are dealt to shards of bounded size by a hash;
 each shard is one row: a ball tree and its vectors in tree order. Queries are packed into
 blocks the same way. Every block meets every shard once: first a home shard, whose
 kth scores then bound the search in all other shards. Within a shard a node is left out
 for the queries whose kth score its upper bound q.c + |q| r does not reach, and nodes of
 higher bound are opened first, so later ones meet higher kth scores. Equal scores are
-never cut by a bound, so ties fall to the smaller vec_id exactly.
+never cut by a bound, so ties fall to the smaller vec_id exactly. Products that doubles
+may not hold exactly are computed in 64-bit or, where those are too short, in Python
+integers.
 
-Defined results: rows with a null vec_id, and vectors that are null or hold null,
-non-finite or (scaled) 32-bit overflowing components, take no part; shorter vectors are
+Defined results: rows with a null vec_id, and vectors that are null or hold null
+or non-finite components, take no part; a result whose score does not fit 64 bits raises, as its
+cast does in SQL, and so do components of 2**500 or more, which only doubles can hold; shorter vectors are
 filled up with zeros; repeated rows of one vec_id and vector count once; fewer candidates
 than k are all returned; an empty table gives no rows; other columns are ignored.
 """
@@ -17,6 +20,7 @@ than k are all returned; an empty table gives no rows; other columns are ignored
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pandas as pd
@@ -31,18 +35,22 @@ SHARD_ROWS = 8_192
 BLOCK_QUERIES = 2_048
 LEAF = 128
 LOWEST = -(2**62)
+# Scores are cut to this absolute value; a result that has it raises.
+MOST = 2**63 - 1
 
 
 def quantized(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and integer components of the rows that take part."""
-    ints = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
-    good = F.forall(
-        "embedding",
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < 2.0**31),
-    )
+    """vec_id and components, whole numbers in doubles, of the rows that take part."""
+
+    def whole(x: F.Column) -> F.Column:
+        # Doubles of 2**53 or more are whole; floor() would cut them to 64 bits.
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     rows = rows.where("vec_id is not null and embedding is not null").where(good)
-    return rows.select("vec_id", ints.cast("array<int>").alias("v")).distinct()
+    return rows.select("vec_id", F.transform("embedding", whole).alias("v")).distinct()
 
 
 def ball_tree(vectors: np.ndarray, leaf: int = LEAF):
@@ -81,20 +89,46 @@ class Shard:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order, self.nodes = ball_tree(vectors)
-        self.ids, self.vectors = ids[order], vectors[order]
-        self.floats = self.vectors.astype(np.float64)
+        self.ids, self.floats = ids[order], vectors[order].astype(np.float64)
+        self.norms = np.sqrt((self.floats**2).sum(axis=1))
         self.centres = np.array([n[4] for n in self.nodes])
         self.radii = np.array([n[5] for n in self.nodes])
 
+    def _scores(self, queries: np.ndarray, norms: np.ndarray, kth: np.ndarray, part: slice, other: np.ndarray, k: int):
+        """Products with the vectors of a leaf, and which of them (``other`` rows only) may be among
+        the k best of a query; those are exact."""
+        leaf, reach = self.floats[part], norms[:, None] * self.norms[part][None, :]
+        if reach.max() < 2.0**62:
+            # No partial sum is larger than the product of the norms.
+            if reach.max() < 2.0**52:
+                scores = np.rint(queries @ leaf.T).astype(np.int64)
+            else:
+                scores = queries.astype(np.int64) @ leaf.T.astype(np.int64)
+            return scores, (scores >= kth[:, None]) & other
+        near, error = queries @ leaf.T, np.where(reach < 2.0**52, 0.0, 1e-9 * reach)
+        if len(leaf) >= k:
+            surely = np.where(other, near - error, -np.inf)
+            kth = np.maximum(kth, np.partition(surely, -k, axis=1)[:, -k])
+        fits = (near + error >= kth[:, None]) & other
+        scores = np.zeros(near.shape, np.int64)
+        known = fits & (error == 0)
+        scores[known] = np.rint(near[known]).astype(np.int64)
+        whole = [[int(x) for x in v] for v in leaf.tolist()]
+        for row in np.flatnonzero((fits & ~known).any(axis=1)).tolist():
+            query = [int(x) for x in queries[row].tolist()]
+            for column in np.flatnonzero(fits[row] & ~known[row]).tolist():
+                scores[row, column] = min(max(sum(map(mul, query, whole[column])), -MOST), MOST)
+        return scores, fits
+
     def search(self, query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int):
         """Per query the candidates that may be among its k best: (query row, id, score)."""
         floats = queries.astype(np.float64)
         norms = np.sqrt((floats**2).sum(axis=1))
-        # The largest sum a product can take decides whether doubles hold it exactly.
-        exact = np.abs(floats).max(initial=0) * np.abs(self.floats).max(initial=0) * floats.shape[1] < 2.0**52
         bounds = floats @ self.centres.T + norms[:, None] * self.radii[None, :]
-        bounds += 1e-6 * (1 + np.abs(bounds))
-        kth = least.astype(np.float64).copy()
+        # Large terms that cancel leave an error in proportion to them, not to their sum.
+        size = np.sqrt((self.centres**2).sum(axis=1)) + self.radii
+        bounds += 1e-6 * (1 + np.abs(bounds)) + 1e-9 * norms[:, None] * size[None, :]
+        kth = np.where(least <= LOWEST, -np.inf, least.astype(np.float64))
         best = [np.empty((0, 2), np.int64) for _ in queries]
         pending = [(0, np.arange(len(queries)))]
         while pending:
@@ -108,12 +142,9 @@ class Shard:
                 # The last one put down is opened next.
                 pending += [(left, rows), (right, rows)] if ahead else [(right, rows), (left, rows)]
                 continue
-            if exact:
-                scores = np.rint(floats[rows] @ self.floats[first:stop].T).astype(np.int64)
-            else:
-                scores = queries[rows].astype(np.int64) @ self.vectors[first:stop].astype(np.int64).T
             ids = self.ids[first:stop]
-            fits = (scores >= kth[rows][:, None]) & (ids[None, :] != query_ids[rows][:, None])
+            other = ids[None, :] != query_ids[rows][:, None]
+            scores, fits = self._scores(floats[rows], norms[rows], kth[rows], slice(first, stop), other, k)
             for at in np.flatnonzero(fits.any(axis=1)).tolist():
                 row, found = rows[at], np.flatnonzero(fits[at])
                 both = np.concatenate([best[row], np.stack([scores[at, found], ids[found]], axis=1)])
@@ -126,14 +157,24 @@ class Shard:
         return rows, both[:, 1], both[:, 0]
 
 
+def _matrix(raw: bytes, size: int, rows: int) -> np.ndarray:
+    """Vectors back from bytes: 32-bit integers, or doubles where a group needs them."""
+    return np.frombuffer(raw, "<i4" if len(raw) == 4 * size * rows else "<f8").reshape(-1, size)
+
+
 def _packed(rows: DataFrame, group: str, size: int, columns: list[str]) -> DataFrame:
     """One row per group: its ids and vectors (and kth scores) as bytes."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vec_id", kind="stable")
-        vectors = np.zeros((len(frame), size), "<i4")
+        vectors = np.zeros((len(frame), size), "<f8")
         for k, v in enumerate(frame["v"]):
             vectors[k, : len(v)] = v
+        largest = np.abs(vectors).max()
+        if largest >= 2.0**500:
+            raise OverflowError("a scaled component of a vector is 2**500 or more")
+        if largest < 2.0**31:
+            vectors = vectors.astype("<i4")
         out = {group: [frame[group].iloc[0]], "ids": [frame["vec_id"].to_numpy("<i8").tobytes()], "vectors": [vectors.tobytes()]}
         if "kth" in columns:
             out["kth"] = [frame["kth"].to_numpy("<i8").tobytes()]
@@ -147,9 +188,9 @@ def _searched(cells: DataFrame, size: int, k: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                shard = Shard(np.frombuffer(row.ids, "<i8"), np.frombuffer(row.vectors, "<i4").reshape(-1, size))
-                query_ids = np.frombuffer(row.query_ids, "<i8")
-                queries = np.frombuffer(row.queries, "<i4").reshape(-1, size)
+                ids, query_ids = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.query_ids, "<i8")
+                shard = Shard(ids, _matrix(row.vectors, size, len(ids)))
+                queries = _matrix(row.queries, size, len(query_ids))
                 found, ids, scores = shard.search(query_ids, queries, np.frombuffer(row.kth, "<i8"), k)
                 yield pd.DataFrame({"query_id": query_ids[found], "vec_id": ids, "score": scores})
 
@@ -194,7 +235,8 @@ def top_k(
     rest = against(_packed(bounded, "block", size, ["kth"]), others)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = first.unionByName(rest).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    score = F.when(F.abs("score") < MOST, F.col("score")).otherwise(F.raise_error("a score does not fit 64 bits"))
+    return ranked.select("query_id", "rank", "vec_id", score.cast("long").alias("score"))
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
