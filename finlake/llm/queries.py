@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from finlake.llm import decontaminate, language, packing, quality, repair, secrets, simhash, topk, toxicity, urls
+from finlake.llm import (
+    decontaminate,
+    language,
+    multiset,
+    packing,
+    quality,
+    repair,
+    secrets,
+    simhash,
+    spelling,
+    topk,
+    toxicity,
+    urls,
+    whitening,
+)
 
 QUERIES = {
     "op1_repair": repair.op1_repair,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op9_packing": packing.op9_packing,
     "op10_quality": quality.op10_quality,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_multiset": multiset.op12_multiset,
+    "op13_spelling": spelling.op13_spelling,
 }
 
 TOPK_SQL = """
