@@ -1,19 +1,20 @@
 """Upsert by key, without a transactional table format.
 
-``upsert`` is the relational operator. ``merge_into`` applies it to a Parquet
-table and rewrites only the partitions the batch touches.
+``upsert`` is the relational operator. ``merge_into`` applies it to a versioned Parquet
+table, writes the partitions the batch touches once, and publishes them together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from finlake.operators.latest import latest
 from finlake.session import job_dir
-from finlake.sources import files
+from finlake.sources import files, versions
 
 BUCKET = "_bucket"
 
@@ -97,6 +98,25 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def month_of_key(day: str) -> Column:
+    """First day of the month of a key's date, for tables whose key holds one."""
+    return F.trunc(F.col(day), "month")
+
+
+def range_of_key(number: str, width: int) -> Column:
+    """Which range of ``width`` numbers an integer key falls into; new numbers share the last ones."""
+    return F.floor(F.col(number) / F.lit(width)).cast("bigint")
+
+
+@dataclass(frozen=True)
+class Merged:
+    """What a merge did: partitions it wrote or emptied, and those of the table before and after."""
+
+    touched: tuple[str, ...]
+    before: int
+    after: int
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -107,41 +127,36 @@ def merge_into(
     key_fixes_partition: bool = False,
     newer_by: str | None = None,
     layout: str = "",
-) -> None:
-    """Upsert a batch into the Parquet table at ``path``.
-
-    The first build is written next to the table and moved into place once it is
-    complete and marked. A folder that holds data without a marker, or a table of
-    another ``layout`` than this one, raises and is left as it is.
-
-    With ``newer_by`` a stored row that is newer than the batch's is kept.
+) -> Merged:
+    """Upsert a batch into the versioned Parquet table at ``path`` (see :mod:`versions`).
 
     Touched partitions are those of the batch and those that hold a matched key
     now (a record may move, e.g. to another day); the latter need a scan of the
     key and partition columns, within the batch's key range, and are skipped when
-    the key fixes the partition. The new content is first written out in full next
-    to the table and then replaces the touched partitions. An interrupted run is
-    finished from there by the next one, an interrupted first build (which is only in
-    the staging folder) is done again.
-    One writer per table at a time.
+    the key fixes the partition. Their new content is written once, into new folders, and one
+    manifest publishes them all: an interrupted run changes nothing, and its
+    leftovers go with the next commit. A second writer on the same table raises instead
+    of losing rows.
+
+    With ``newer_by`` a stored row that is newer than the batch's is kept. A folder that
+    holds data without a manifest, or a table of another ``layout`` or partition column than this
+    one, raises and is left as it is.
     """
-    keys = key_list(keys)
-    staging = f"{path.rstrip('/')}.merge"
-    _finish(spark, path, staging, partition)
-    if not files.is_built(spark, path):
+    keys, path = key_list(keys), path.rstrip("/")
+    state = versions.current(spark, path)
+    if state is None:
         if files.has_data(spark, path):
-            raise ValueError(f"{path} holds data but no mark of a completed write; see files.mark_built")
-        _write(batch, f"{staging}/first", partition, partitions="static")
-        files.mark_built(spark, f"{staging}/first", layout)
-        _finish(spark, path, staging, partition)
-        return
-    if files.layout_of(spark, path) != layout:
-        raise ValueError(f"{path} has the layout {files.layout_of(spark, path)!r}, not {layout!r}")
-    if not files.has_data(spark, path):  # all first builds so far were empty
-        _write(batch, path, partition)
-        return
-    target = _read(spark, path, batch.schema[partition])
-    require_same_columns(target.schema, batch.schema)
+            raise ValueError(f"{path} holds data but no manifest of a completed write; see versions.adopt")
+        folders = versions.write(batch, path, partition)
+        versions.publish(spark, path, _stored(batch.schema), partition, folders, None, layout)
+        return Merged(tuple(folders), 0, len(folders))
+    if state.layout != layout or state.partition != partition:
+        raise ValueError(f"{path} has the layout {state.partition} {state.layout!r}, not {partition} {layout!r}")
+    require_same_columns(state.schema, batch.schema)
+    if not state.folders:  # all builds so far were empty
+        folders = versions.write(batch, path, partition)
+        versions.publish(spark, path, state.schema, partition, folders, state, layout)
+        return Merged(tuple(folders), 0, len(folders))
 
     # The batch is read several times below; a written copy also cuts its lineage.
     held = job_dir(spark, "batch")
@@ -150,70 +165,31 @@ def merge_into(
     try:
         touched = batch.select(partition)
         if not key_fixes_partition:
-            places = target.select(*dict.fromkeys([*keys, partition])).where(_in_range_of(batch, keys))
+            places = versions.read(spark, path, state).select(*dict.fromkeys([*keys, partition]))
+            places = places.where(_in_range_of(batch, keys))
             if null_safe:
                 matching = _null_safe_join(places, batch, keys, "left_semi")
             else:
                 matching = places.join(batch.select(*keys), keys, "left_semi")
             touched = touched.union(matching.select(partition))
         # Bounded by the number of partitions of the table.
-        values = [row[0] for row in touched.distinct().collect()]
-        if not values:
-            return
-        affected = F.col(partition).isin([v for v in values if v is not None])
-        if None in values:
-            affected = affected | F.col(partition).isNull()
-        affected_rows = target.where(affected)
+        names = sorted(files.partition_folder(spark, partition, row[0]) for row in touched.distinct().collect())
+        if not names:
+            return Merged((), len(state.folders), len(state.folders))
+        affected = versions.read(spark, path, state, only=names)
         if newer_by:
-            merged = upsert_newest(affected_rows, batch, keys, newer_by)
+            merged = upsert_newest(affected, batch, keys, newer_by)
         else:
-            merged = upsert(affected_rows, batch, keys, null_safe)
-        _write(merged, f"{staging}/rows", partition)
-        spark.createDataFrame([(v,) for v in values], T.StructType([batch.schema[partition]])).coalesce(
-            1
-        ).write.mode("overwrite").parquet(f"{staging}/touched")
-        files.mark_built(spark, f"{staging}/touched")
-        _finish(spark, path, staging, partition)
+            merged = upsert(affected, batch, keys, null_safe)
+        # A partition all of whose rows moved elsewhere gets no folder and is listed no more.
+        made = versions.write(merged, path, partition)
+        kept = {name: folder for name, folder in state.folders.items() if name not in names}
+        versions.publish(spark, path, state.schema, partition, {**kept, **made}, state, layout)
+        return Merged(tuple(names), len(state.folders), len(kept) + len(made))
     finally:
         files.remove(spark, held)
 
 
-def _read(spark: SparkSession, path: str, partition: T.StructField) -> DataFrame:
-    """A table with its partition column in the declared type, not the guessed one."""
-    found = spark.read.parquet(path).schema
-    typed = T.StructType([partition if field.name == partition.name else field for field in found])
-    return spark.read.schema(typed).parquet(path)
-
-
-def _write(rows: DataFrame, path: str, partition: str, partitions: str = "dynamic") -> None:
-    """Replace the partitions present in ``rows``, or with "static" the whole table.
-
-    Hot partitions are split over tasks.
-    """
-    (
-        rows.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", partitions)
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
-def _finish(spark: SparkSession, path: str, staging: str, partition: str) -> None:
-    """Move a completely staged merge into the table; drop an incomplete one."""
-    if files.is_built(spark, f"{staging}/first") and not files.is_built(spark, path):
-        if files.exists(spark, path):
-            files.remove(spark, path)  # holds no data, see merge_into
-        files.rename(spark, f"{staging}/first", path)
-    if files.is_built(spark, f"{staging}/touched"):
-        touched = spark.read.parquet(f"{staging}/touched")
-        if files.has_data(spark, f"{staging}/rows"):
-            _write(_read(spark, f"{staging}/rows", touched.schema[0]), path, partition)
-        # A partition all of whose rows moved elsewhere has no staged rows.
-        staged = set(files.children(spark, f"{staging}/rows"))
-        for (value,) in touched.collect():
-            folder = files.partition_folder(spark, partition, value)
-            if folder not in staged:
-                files.remove(spark, f"{path}/{folder}")
-    if files.exists(spark, staging):
-        files.remove(spark, staging)
+def _stored(schema: T.StructType) -> T.StructType:
+    """Column names and types alone: stored columns may always be null."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema])

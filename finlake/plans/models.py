@@ -44,6 +44,7 @@ INTEREST_RATES = TrustedSpec(
         Field("pct_taxa_juros_ano", "TaxaJurosAoAno", "numeric", "percent per year"),
     ),
     key=("data_referencia", "modalidade", "cnpj8"),
+    key_month="data_referencia",
     required=("data_referencia", "modalidade", "cnpj8"),
     checks=Checks(
         not_null=("data_referencia", "modalidade", "cnpj8"),
@@ -73,6 +74,7 @@ INSTITUTIONS = TrustedSpec(
         Field("situacao", "Situacao", comment="A active, I inactive"),
     ),
     key=("cod_inst", "data_referencia", "td"),
+    key_month="data_referencia",
     required=("cod_inst", "data_referencia"),
     checks=Checks(
         not_null=("cod_inst", "data_referencia", "td"),
@@ -89,6 +91,7 @@ REPORTS = TrustedSpec(
         Field("nome_relatorio", "NomeRelatorio", comment="report name"),
     ),
     key=("num_relatorio",),
+    key_range="num_relatorio",
     required=("num_relatorio",),
     checks=Checks(not_null=("num_relatorio",), unique=(("num_relatorio",),)),
 )
@@ -111,6 +114,7 @@ PAYMENTS = TrustedSpec(
         ),
     ),
     key=("data_referencia",),
+    key_month="data_referencia",
     required=("data_referencia",),
     checks=Checks(not_null=("data_referencia",), unique=(("data_referencia",),)),
 )
@@ -131,6 +135,7 @@ EXPECTATIONS = TrustedSpec(
         Field("num_respondentes", "numeroRespondentes", "integer", "respondents"),
     ),
     key=("data_coleta", "indicador", "data_referencia"),
+    key_month="data_coleta",
     required=("data_coleta", "indicador"),
     checks=Checks(
         not_null=("data_coleta", "indicador", "data_referencia"),
@@ -153,6 +158,7 @@ BENCHMARKS = TrustedSpec(
         Field("data_termino", "TERMINO", "iso_day", "last day of the period"),
     ),
     key=("benchmark", "titulo", "data_vencimento", "data_inicio", "data_termino"),
+    key_month="data_inicio",
     required=("data_vencimento",),
     checks=Checks(
         not_null=("benchmark", "data_vencimento", "data_inicio"),
@@ -173,6 +179,7 @@ CALENDAR = TrustedSpec(
         Field("tipo_leilao", "TIPO_LEILAO", comment="auction type"),
     ),
     key=("benchmark", "titulo", "data_vencimento", "data_leilao", "tipo_leilao"),
+    key_month="data_leilao",
     checks=Checks(
         not_null=("titulo", "data_vencimento", "data_leilao"),
         unique=(("benchmark", "titulo", "data_vencimento", "data_leilao", "tipo_leilao"),),
@@ -204,6 +211,7 @@ DEALERS = TrustedSpec(
         Field("data_fim_periodo", "FIM_PERIODO", "iso_day", "last day as dealer"),
     ),
     key=("dealer", "cnpj", "data_inicio_periodo", "data_fim_periodo"),
+    key_month="data_inicio_periodo",
     checks=Checks(
         not_null=("cnpj", "data_inicio_periodo"),
         unique=(("dealer", "cnpj", "data_inicio_periodo", "data_fim_periodo"),),
@@ -247,6 +255,7 @@ RESULTS = TrustedSpec(
         Field("financeiro_bcb", "financeiro_bcb", "numeric", "amount accepted by the central bank"),
     ),
     key=("num_edital",),
+    key_range="num_edital",
     checks=Checks(
         not_null=("num_edital", "titulo", "data_vencimento", "data_leilao"),
         unique=(("num_edital",),),

@@ -60,6 +60,11 @@ class TrustedSpec:
     ``required`` names output columns whose payload path must hold a value.
     ``event_order`` names the column that decides which record is the latest; by
     default it is the ingest time.
+
+    The table is stored by the day of ``partition_day``, or by what the key says: the month of
+    its date ``key_month``, the range of its number ``key_range``, else a hash. The
+    latter three never change for a key; months and ranges keep a batch of recent
+    records in the few partitions that hold recent records.
     """
 
     name: str
@@ -70,6 +75,8 @@ class TrustedSpec:
     endpoint: str | None = None
     event_order: str | None = None
     partition_day: str | None = None
+    key_month: str | None = None
+    key_range: str | None = None
     lookback_days: int = 2
     checks: Checks = Checks()
     comment: str = ""

@@ -9,14 +9,15 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from finlake.operators import quality
-from finlake.operators.merge import BUCKET, bucket_of, merge_into
+from finlake.operators.merge import BUCKET, Merged, bucket_of, merge_into, month_of_key, range_of_key
 from finlake.plans import models, refined
-from finlake.plans.spec import TrustedSpec, build
-from finlake.sources import files, raw
+from finlake.plans.spec import KINDS, TrustedSpec, build
+from finlake.sources import files, raw, versions
 
 # One database per layer, with these names whatever the target is called.
 LAYERS = ("raw", "trusted", "refined", "governance")
-PARTITION_DAY = "_partition_day"
+PARTITION_DAY, PARTITION_MONTH, PARTITION_RANGE = "_partition_day", "_partition_month", "_partition_range"
+RANGE_WIDTH = 1_000
 
 
 def create_layers(spark: SparkSession) -> None:
@@ -44,15 +45,51 @@ class Lake:
         return raw.read(self.spark, self.path("raw", source), multiplexed)
 
     def is_built(self, spec: TrustedSpec) -> bool:
-        return files.is_built(self.spark, self.path("trusted", spec.name))
+        return versions.current(self.spark, self.path("trusted", spec.name)) is not None
 
-    def trusted(self, spec: TrustedSpec) -> DataFrame:
-        """A trusted table in its declared columns."""
-        path = self.path("trusted", spec.name)
-        if not files.has_data(self.spark, path):
-            return self.spark.createDataFrame([], spec.schema())
-        declared = spec.schema()
-        return self.spark.read.schema(declared).parquet(path).select(*declared.fieldNames())
+    def placed(self, rows: DataFrame, spec: TrustedSpec) -> tuple[DataFrame, str]:
+        """Typed rows with the column their table is stored by, and its name."""
+        if spec.partition_day:
+            return rows.withColumn(PARTITION_DAY, F.to_date(spec.partition_day)), PARTITION_DAY
+        if spec.key_month:
+            return rows.withColumn(PARTITION_MONTH, month_of_key(spec.key_month)), PARTITION_MONTH
+        if spec.key_range:
+            return rows.withColumn(PARTITION_RANGE, range_of_key(spec.key_range, RANGE_WIDTH)), PARTITION_RANGE
+        return rows.withColumn(BUCKET, bucket_of(list(spec.key), self.buckets)), BUCKET
+
+    def layout(self, spec: TrustedSpec) -> str:
+        if spec.partition_day or spec.key_month:
+            return ""
+        return f"width={RANGE_WIDTH}" if spec.key_range else f"buckets={self.buckets}"
+
+    def trusted(
+        self, spec: TrustedSpec, first: date | datetime | int | None = None, last: date | datetime | int | None = None
+    ) -> DataFrame:
+        """A trusted table in its declared columns.
+
+        ``first`` and ``last`` bound the column the table is stored by (``partition_day``,
+        ``key_month`` or ``key_range``), both included. The bounds are stated of the stored
+        partitions as well, so only folders that can hold such rows are read.
+        """
+        found = versions.read(self.spark, self.path("trusted", spec.name))
+        if found is None:
+            found, _ = self.placed(self.spark.createDataFrame([], spec.schema()), spec)
+        column = spec.partition_day or spec.key_month or spec.key_range
+        if (first is not None or last is not None) and not column:
+            raise ValueError(f"{spec.name} is stored by a hash of its key and cannot be bounded")
+        for bound, within in ((first, F.Column.__ge__), (last, F.Column.__le__)):
+            if bound is None:
+                continue
+            found = found.where(within(F.col(column), F.lit(bound)))
+            # The partition of the bound itself, as its rows are placed.
+            if spec.key_range:
+                place, limit = PARTITION_RANGE, F.lit(bound // RANGE_WIDTH)
+            else:
+                day = bound.date() if isinstance(bound, datetime) else bound
+                place = PARTITION_DAY if spec.partition_day else PARTITION_MONTH
+                limit = F.lit(day if spec.partition_day else day.replace(day=1))
+            found = found.where(within(F.col(place), limit))
+        return found.select(*spec.schema().fieldNames())
 
     def refresh(
         self,
@@ -63,7 +100,7 @@ class Lake:
         full: bool = False,
         null_safe: bool = True,
         check: bool = True,
-    ) -> None:
+    ) -> Merged:
         """Build a model from raw and merge it into its table.
 
         The first build reads all of raw, later ones the lookback window or the
@@ -73,13 +110,8 @@ class Lake:
         batch = build(
             self.raw(spec.source, spec.multiplexed), spec, run_at, as_of, incremental, start_date
         )
-        if spec.partition_day:
-            partition = PARTITION_DAY
-            batch = batch.withColumn(partition, F.to_date(spec.partition_day))
-        else:
-            partition = BUCKET
-            batch = batch.withColumn(partition, bucket_of(list(spec.key), self.buckets))
-        merge_into(
+        batch, partition = self.placed(batch, spec)
+        done = merge_into(
             self.spark,
             self.path("trusted", spec.name),
             batch,
@@ -87,18 +119,42 @@ class Lake:
             partition,
             null_safe=null_safe,
             key_fixes_partition=spec.partition_day is None,
-            layout="" if spec.partition_day else f"buckets={self.buckets}",
+            layout=self.layout(spec),
         )
         self._register_partitions(spec)
         if check:
             quality.require(self.trusted(spec), spec.checks, spec.name)
+        return done
 
     def _register_partitions(self, spec: TrustedSpec) -> None:
-        """Let a described catalog table follow the folders."""
+        """Let a described catalog table follow the manifest, partition by partition."""
         table = qualified("trusted", spec.name)
         if self.spark.catalog.databaseExists("trusted") and self.spark.catalog.tableExists(table):
-            self.spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-            self.spark.catalog.refreshTable(table)
+            self._sync_partitions(table, self.path("trusted", spec.name))
+
+    def _sync_partitions(self, table: str, path: str) -> None:
+        """Give every partition of a catalog table the folder its manifest names."""
+        state = versions.current(self.spark, path)
+        folders = state.folders if state else {}
+        known = {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+        def clause(name: str) -> str:
+            column, _, value = name.partition("=")
+            return f"(`{column}` = {'NULL' if value == '__HIVE_DEFAULT_PARTITION__' else repr(value)})"
+
+        def named(name: str) -> str:
+            return name.replace("__HIVE_DEFAULT_PARTITION__", "null")
+
+        gone = [name for name in known if name not in {named(f) for f in folders}]
+        for name in gone:
+            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION {clause(name)}")
+        for name, folder in folders.items():
+            place = f"LOCATION '{path}/{folder}'"
+            if named(name) in known:
+                self.spark.sql(f"ALTER TABLE {table} PARTITION {clause(name)} SET {place}")
+            else:
+                self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION {clause(name)} {place}")
+        self.spark.catalog.refreshTable(table)
 
     def publish_refined(self, run_at: datetime, check: bool = True) -> None:
         """Rebuild the enriched table and point the three views at the new version.
@@ -165,11 +221,9 @@ class Lake:
             f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING parquet "
             f"PARTITIONED BY (`{partition}`) COMMENT '{text}' LOCATION '{self.path(layer, name)}'"
         )
-        self.spark.sql(f"MSCK REPAIR TABLE {table}")
+        self._sync_partitions(table, self.path(layer, name))
 
     def describe_trusted(self, spec: TrustedSpec) -> None:
-        partition, kind = (
-            (PARTITION_DAY, T.DateType()) if spec.partition_day else (BUCKET, T.IntegerType())
-        )
-        schema = T.StructType([*spec.schema(), T.StructField(partition, kind)])
+        placed, partition = self.placed(self.spark.createDataFrame([], spec.schema()), spec)
+        schema = T.StructType([*spec.schema(), placed.schema[partition]])
         self.describe("trusted", spec.name, schema, spec.comment, partition)

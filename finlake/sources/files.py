@@ -6,9 +6,6 @@ import re
 
 from pyspark.sql import SparkSession
 
-# Readers skip names that begin with an underscore.
-MARKER = "_finlake_built"
-
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -42,32 +39,19 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder holds anything besides markers such as _SUCCESS."""
-    return any(
-        name.startswith("part-") or re.match(r"[^.].*=", name) for name in children(spark, path)
-    )
-
+    """Whether a plain table folder holds anything besides markers such as _SUCCESS.
 
-def is_built(spark: SparkSession, path: str) -> bool:
-    """Whether a table's first write was completed, by its own marker.
-
-    The committer's _SUCCESS is not asked for: clusters may turn it off.
+    Versioned folders (:mod:`versions`) do not count.
     """
-    return exists(spark, f"{path}/{MARKER}")
-
-
-def mark_built(spark: SparkSession, path: str, layout: str = "") -> None:
-    """Mark a folder as a completely written table of that layout; also adopts older tables."""
-    write_text(spark, f"{path}/{MARKER}", layout)
-
-
-def layout_of(spark: SparkSession, path: str) -> str:
-    return read_text(spark, f"{path}/{MARKER}")
+    return any(
+        name.startswith("part-") or re.match(r"(?!_version=)[^.].*=", name) for name in children(spark, path)
+    )
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """Write a small file; without ``overwrite`` an existing one raises."""
     fs, hadoop_path = _fs(spark, path)
-    out = fs.create(hadoop_path, True)
+    out = fs.create(hadoop_path, overwrite)
     try:
         out.write(bytearray(text.encode()))
     finally:
@@ -83,12 +67,6 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, from_path = _fs(spark, source)
-    if not fs.rename(from_path, _fs(spark, target)[1]):
-        raise OSError(f"cannot rename {source} to {target}")
-
-
 def partition_folder(spark: SparkSession, column: str, value) -> str:
     """Folder name of a partition value, escaped as Spark writes it."""
     if value is None:

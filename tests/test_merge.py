@@ -11,7 +11,7 @@ from finlake.operators import merge
 from finlake.operators.quality import symmetric_difference
 from finlake.plans import models
 from finlake.plans.tables import LAYERS, Lake, create_layers, qualified
-from finlake.sources import files, raw
+from finlake.sources import files, raw, versions
 
 SCHEMA = "k1 bigint, k2 string, v bigint"
 KEYS = ["k1", "k2"]
@@ -79,33 +79,37 @@ DAY_SCHEMA = "id bigint, day date, v string"
 
 
 def merge_days(spark, path, rows, **kw):
-    merge.merge_into(spark, path, frame(spark, rows, DAY_SCHEMA), "id", "day", **kw)
+    return merge.merge_into(spark, path, frame(spark, rows, DAY_SCHEMA), "id", "day", **kw)
 
 
 def table(spark, path):
-    return rows_of(spark.read.parquet(path), "id", "day", "v")
+    return rows_of(versions.read(spark, path), "id", "day", "v")
 
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
 
 
+def folders(spark, path):
+    return versions.current(spark, path).folders
+
+
 def test_table_merge_moves_rows_between_days(spark, folder):
     path = f"{folder}/t"
     merge_days(spark, path, [(1, D1, "a"), (2, D1, "b"), (3, D2, "c"), (4, D3, "d")])
-    untouched = os.stat(f"{path}/day=2024-01-03").st_mtime_ns
-    merge_days(spark, path, [(3, D1, "moved"), (1, D1, "new"), (5, D2, "e")])
+    untouched = folders(spark, path)["day=2024-01-03"]
+    done = merge_days(spark, path, [(3, D1, "moved"), (1, D1, "new"), (5, D2, "e")])
+    assert done == merge.Merged(("day=2024-01-01", "day=2024-01-02"), 3, 3)
     assert table(spark, path) == [
         (1, D1, "new"), (2, D1, "b"), (3, D1, "moved"), (4, D3, "d"), (5, D2, "e"),
     ]
-    assert os.stat(f"{path}/day=2024-01-03").st_mtime_ns == untouched
+    assert folders(spark, path)["day=2024-01-03"] == untouched
     merge_days(spark, path, [(5, D1, "e2")])  # the last row of a day leaves it
     assert table(spark, path) == [
         (1, D1, "new"), (2, D1, "b"), (3, D1, "moved"), (4, D3, "d"), (5, D1, "e2"),
     ]
-    assert not os.path.exists(f"{path}/day=2024-01-02")
+    assert "day=2024-01-02" not in folders(spark, path)
     merge_days(spark, path, [])
     assert len(table(spark, path)) == 5
-    assert not files.exists(spark, f"{path}.merge")
 
 
 def test_null_partition(spark, folder):
@@ -115,40 +119,117 @@ def test_null_partition(spark, folder):
     assert table(spark, path) == [(1, D1, "a2"), (2, D1, "b"), (3, None, "c")]
 
 
-def test_interrupted_merge_is_finished_by_the_next(spark, folder, monkeypatch):
-    path = f"{folder}/t"
-    merge_days(spark, path, [(1, D1, "a"), (2, D2, "b")])
-    real = merge._finish
-    calls = []
-
-    def stop_before_replacing(session, target, staging, partition):
-        calls.append(1)
-        if len(calls) == 2:
-            files.remove(session, f"{target}/day=2024-01-01")  # as if lost half-way
-            raise RuntimeError("driver lost")
-        real(session, target, staging, partition)
-
-    monkeypatch.setattr(merge, "_finish", stop_before_replacing)
-    with pytest.raises(RuntimeError):
-        merge_days(spark, path, [(1, D1, "a2"), (3, D1, "c")])
-    monkeypatch.setattr(merge, "_finish", real)
-    merge_days(spark, path, [(4, D2, "d")])
-    assert table(spark, path) == [(1, D1, "a2"), (2, D2, "b"), (3, D1, "c"), (4, D2, "d")]
+class Lost(RuntimeError):
+    """The driver is gone."""
 
 
-def test_interrupted_first_build_is_done_again(spark, folder, monkeypatch):
-    path = f"{folder}/t"
+def lost(*_, **__):
+    raise Lost
 
-    def lost(*_):
-        raise RuntimeError("driver lost")
 
-    with monkeypatch.context() as patched:
-        patched.setattr(files, "mark_built", lost)
-        with pytest.raises(RuntimeError):
-            merge_days(spark, path, [(1, D1, "partial")])
-    assert not files.is_built(spark, path) and not files.exists(spark, path)
-    merge_days(spark, path, [(2, D2, "b"), (3, D3, "c")])
-    assert table(spark, path) == [(2, D2, "b"), (3, D3, "c")]
+@pytest.mark.parametrize("first", [True, False])
+def test_a_cut_write_changes_nothing(spark, folder, monkeypatch, first):
+    path = f"{folder}/t"
+    before = None if first else [(1, D1, "a"), (2, D2, "b")]
+    if not first:
+        merge_days(spark, path, before)
+    for step in ("publish", "write"):
+        with monkeypatch.context() as patched:
+            patched.setattr(versions, step, lost)
+            with pytest.raises(Lost):
+                merge_days(spark, path, [(1, D1, "cut"), (9, D3, "cut")])
+        assert (versions.current(spark, path) is None) if first else table(spark, path) == before
+    merge_days(spark, path, [(4, D2, "d")])
+    assert table(spark, path) == [*(before or []), (4, D2, "d")]
+    # What the cut runs left behind is gone after the next two commits.
+    merge_days(spark, path, [(4, D2, "e")])
+    merge_days(spark, path, [(4, D2, "f")])
+    used = {f.split("/")[0] for f in folders(spark, path).values()}
+    assert len([v for v in os.listdir(path) if v.startswith("_version=")]) <= len(used) + 1
+
+
+def test_half_copied_first_build_leaves_nothing(spark, folder):
+    """A store that copies file by file, cut after any number of files and in the manifest itself."""
+    whole = f"{folder}/whole"
+    rows = [(i, D1 + timedelta(days=i % 5), "x") for i in range(100)]
+    merge_days(spark, whole, rows)
+    found = []
+    for root, _, names in os.walk(whole):
+        found += [os.path.relpath(f"{root}/{n}", whole) for n in names]
+    # Data first, the manifest last, as they are written.
+    found.sort(key=lambda f: (f.startswith(versions.MANIFESTS), f))
+    for cut in (1, len(found) // 2, len(found) - 2, len(found)):
+        part = f"{folder}/cut{cut}"
+        for name in found[:cut]:
+            os.makedirs(os.path.dirname(f"{part}/{name}"), exist_ok=True)
+            with open(f"{whole}/{name}", "rb") as source, open(f"{part}/{name}", "wb") as copy:
+                copy.write(source.read())
+        state = versions.current(spark, part)
+        assert (len(table(spark, part)) == 100) if cut == len(found) else state is None
+        merge_days(spark, part, rows[:3] if state else rows)
+        assert len(table(spark, part)) == 100
+    manifest = f"{whole}/{versions.MANIFESTS}/{1:012d}"
+    text = open(manifest).read()
+    os.remove(f"{whole}/{versions.MANIFESTS}/.{1:012d}.crc")
+    with open(manifest, "w") as out:
+        out.write(text[: len(text) // 2])
+    assert versions.current(spark, whole) is None
+    merge_days(spark, whole, rows)
+    assert len(table(spark, whole)) == 100
+
+
+def test_second_writer_raises(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    merge_days(spark, path, [(1, D1, "a")])
+    real = versions.write
+
+    def overtaken(rows, target, partition):
+        made = real(rows, target, partition)
+        monkeypatch.setattr(versions, "write", real)
+        merge_days(spark, path, [(2, D1, "other")])
+        return made
+
+    monkeypatch.setattr(versions, "write", overtaken)
+    with pytest.raises(RuntimeError, match="another writer"):
+        merge_days(spark, path, [(3, D1, "late")])
+    assert table(spark, path) == [(1, D1, "a"), (2, D1, "other")]
+
+
+def test_recent_batch_writes_few_partitions(spark, folder):
+    """200 changed of 5,000 records: under a tenth of the partitions, once, by month or range of the key."""
+    first = date(2019, 1, 1)
+    schema = "day date, kind string, v string"
+    rows = [(first + timedelta(days=i // 3), "abc"[i % 3], "x") for i in range(5_000)]
+    batch = [(day, kind, "new") for day, kind, _ in rows[-200:]]
+    path = f"{folder}/months"
+    by_month = lambda r: frame(spark, r, schema).withColumn("_m", merge.month_of_key("day"))
+    merge.merge_into(spark, path, by_month(rows), ["day", "kind"], "_m", key_fixes_partition=True)
+    before = folders(spark, path)
+    done = merge.merge_into(spark, path, by_month(batch), ["day", "kind"], "_m", key_fixes_partition=True)
+    assert len(done.touched) < done.after / 10 and done.after == done.before
+    changed = {name for name, place in folders(spark, path).items() if before[name] != place}
+    assert changed == set(done.touched)
+    assert versions.read(spark, path).groupBy("v").count().collect() and table_count(spark, path, "new") == 200
+
+    path = f"{folder}/ranges"
+    by_range = lambda lo, hi, v: spark.range(lo, hi).select(
+        "id", F.lit(v).alias("v"), merge.range_of_key("id", 100).alias("_r"))
+    merge.merge_into(spark, path, by_range(0, 5_000, "x"), "id", "_r", key_fixes_partition=True)
+    done = merge.merge_into(spark, path, by_range(4_850, 5_050, "new"), "id", "_r", key_fixes_partition=True)
+    assert len(done.touched) == 3 and done.after == 51
+    assert table_count(spark, path, "new") == 200 and versions.read(spark, path).count() == 5_050
+
+
+def table_count(spark, path, value):
+    return versions.read(spark, path).where(F.col("v") == value).count()
+
+
+def test_readers_of_the_version_before_finish(spark, folder):
+    path = f"{folder}/t"
+    merge_days(spark, path, [(1, D1, "a"), (2, D2, "b")])
+    old = versions.read(spark, path)
+    merge_days(spark, path, [(1, D1, "new")])
+    assert rows_of(old, "id", "v") == [(1, "a"), (2, "b")]
 
 
 def test_merge_without_success_marker(spark, folder):
@@ -164,15 +245,16 @@ def test_merge_without_success_marker(spark, folder):
     assert table(spark, path) == [(1, D1, "a2"), (2, D2, "b")]
 
 
-def test_data_without_marker_and_other_layout_are_refused(spark, folder):
+def test_foreign_data_and_other_layout_are_refused(spark, folder):
     path = f"{folder}/t"
     merge_days(spark, path, [(1, D1, "a")])
     with pytest.raises(ValueError, match="layout"):
         merge.merge_into(spark, path, frame(spark, [(2, D1, "b")], DAY_SCHEMA), "id", "day", layout="buckets=8")
-    os.remove(f"{path}/{files.MARKER}")
-    with pytest.raises(ValueError, match="no mark"):
+    path = f"{folder}/plain"
+    frame(spark, [(1, D1, "a")], DAY_SCHEMA).write.partitionBy("day").parquet(path)
+    with pytest.raises(ValueError, match="no manifest"):
         merge_days(spark, path, [(2, D2, "b")])
-    files.mark_built(spark, path)
+    versions.adopt(spark, path, T.StructField("day", T.DateType()))
     merge_days(spark, path, [(2, D2, "b")])
     assert table(spark, path) == [(1, D1, "a"), (2, D2, "b")]
 
@@ -181,7 +263,7 @@ def test_emptied_partition_with_escaped_name_is_removed(spark, folder):
     path = f"{folder}/t"
     for rows in ([(1, "a:b/c", "x"), (2, "d", "y")], [(1, "d", "z")]):
         merge.merge_into(spark, path, frame(spark, rows, "id bigint, part string, v string"), "id", "part")
-    found = spark.read.schema("id bigint, v string, part string").parquet(path).orderBy("id").collect()
+    found = versions.read(spark, path).orderBy("id").collect()
     assert [(r.id, r.part, r.v) for r in found] == [(1, "d", "z"), (2, "d", "y")]
 
 

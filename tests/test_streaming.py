@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from finlake.plans import models
-from finlake.sources import landing, raw
+from finlake.sources import landing, raw, versions
 from finlake.streaming import trades as stream
 
 RUN_AT = datetime(2024, 5, 11)
@@ -85,7 +85,7 @@ def test_streamed_merge_keeps_the_latest(spark, folder):
         stream.start_merge(
             arriving, models.TRADES, f"{folder}/trades", f"{folder}/cp", RUN_AT
         ).awaitTermination()
-        rows = spark.read.parquet(f"{folder}/trades").collect()
+        rows = versions.read(spark, f"{folder}/trades").collect()
         return sorted((r.trade_id, float(r.price)) for r in rows)
 
     day = 86_400_000
@@ -105,7 +105,7 @@ def test_hourly_counts_follow_late_trades(spark, folder):
         stream.start_hourly_counts(
             arriving, "ts", "s", f"{folder}/hours", f"{folder}/cp"
         ).awaitTermination()
-        return sorted((r.hour_start.hour, r.n_trades) for r in spark.read.parquet(f"{folder}/hours").collect())
+        return sorted((r.hour_start.hour, r.n_trades) for r in versions.read(spark, f"{folder}/hours").collect())
 
     assert counts((1, 5), (1, 50), (2, 0)) == [(1, 2), (2, 1)]
     assert counts((1, 59), (3, 0)) == [(1, 3), (2, 1), (3, 1)]

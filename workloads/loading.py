@@ -13,7 +13,7 @@ from finlake.operators.merge import upsert
 from finlake.plans import models
 from finlake.plans.tables import Lake
 from finlake.session import job_dir
-from finlake.sources import landing, raw
+from finlake.sources import landing, raw, versions
 from finlake.streaming import trades as stream
 from workloads import standins as S
 from workloads.landing import STREAM_SYMBOL, stream_messages
@@ -294,7 +294,7 @@ def stream_hour_window(spark, sf_dir):
         arriving, "ts", "event_type", f"{work}/hours", f"{work}/checkpoint", lateness="60 days"
     )
     query.awaitTermination()
-    hours = spark.read.parquet(f"{work}/hours")
+    hours = versions.read(spark, f"{work}/hours")
     return S.flat(hours.select("hour_start", "event_type", "n_trades"))
 
 
@@ -314,7 +314,7 @@ def stream_merge_latest(spark, sf_dir):
         arriving, models.TRADES, f"{work}/trades", f"{work}/checkpoint", RUN_AT
     )
     query.awaitTermination()
-    merged = spark.read.parquet(f"{work}/trades")
+    merged = versions.read(spark, f"{work}/trades")
     return S.flat(merged.select(*(field.name for field in models.TRADES.fields)))
 
 
