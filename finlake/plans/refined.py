@@ -8,6 +8,7 @@ from finlake.functions.dates import days_between
 from finlake.functions.numbers import AT_REST, minus, plus_optional, rounded, safe_divide
 from finlake.operators import periods, rolling, totals
 from finlake.plans.spec import INSERT_DATE
+from finlake.sources import files
 
 SLOT = ["titulo", "data_vencimento", "data_leilao", "tipo_leilao"]
 _BOND = ["titulo", "data_vencimento"]
@@ -75,10 +76,10 @@ def measures() -> dict[str, Column]:
     }
 
 
-def benchmark_periods(rows: DataFrame, benchmarks: DataFrame) -> DataFrame:
-    """Benchmark period in force for each bond and auction day of ``rows``."""
+def benchmark_periods(slots: DataFrame, benchmarks: DataFrame) -> DataFrame:
+    """Benchmark period in force for each bond and auction day of ``slots`` (or of auctions)."""
     return periods.latest_period(
-        rows, benchmarks, _BOND, "data_leilao", "data_inicio", "data_termino"
+        slots, benchmarks, _BOND, "data_leilao", "data_inicio", "data_termino"
     ).withColumnsRenamed(
         {"data_inicio": "data_benchmark_inicio", "data_termino": "data_benchmark_termino"}
     )
@@ -90,13 +91,15 @@ def enrich(
     benchmarks: DataFrame,
     one_row_per_auction: bool = True,
     rows_per_bucket: int = rolling.ROWS_PER_BUCKET,
+    work: str | None = None,
 ) -> DataFrame:
     """One row per auction with calendar, benchmark period, measures, rolling means, totals.
 
     Everything an auction gets from elsewhere depends on its slot only (bond,
-    day, type). Auctions are therefore reduced to slots first; the calendar, the
-    benchmark periods, the month totals and the rolling buckets are worked out on
-    slots, and one join brings them back. The auctions themselves are shuffled
+    day, type). Auctions are therefore reduced to slots first, which are written once, below ``work``;
+    the calendar, the benchmark periods, the month totals and the rolling buckets are worked out on
+    slots, and one join brings them back. The auctions themselves are read twice, for the slots and
+    for that join (days larger than a share of a bucket twice more), and shuffled
     for that join and for the rolling means, and nowhere else.
 
     The calendar is keyed by benchmark as well, so several entries may fit a slot.
@@ -107,22 +110,21 @@ def enrich(
         entries = calendar.select(*SLOT, F.lit(True).alias("__entry"))
         results = results.join(entries, SLOT, "left").drop("__entry")
 
-    day = "data_leilao"
-    profile = rolling.profile_aggregates("num_edital")
-    slots = results.groupBy(*SLOT).agg(F.sum(total_amount()).alias("__amount"), *profile)
-    days = slots.groupBy("titulo", day).agg(
-        *(F.sum(c).alias(c) for c in ("__n", "__amount")),
-        F.min("__low").alias("__low"),
-        F.max("__high").alias("__high"),
+    day, bond_day = "data_leilao", ["titulo", "data_leilao"]
+    slots = results.groupBy(*SLOT).agg(
+        F.sum(total_amount()).alias("__amount"), F.count(F.lit(1)).alias("__n")
     )
-    days = rolling.place_days(days, ["titulo"], day, rows_per_bucket)
+    slots = files.hold(slots, "slots", work)
+    days = slots.groupBy(*bond_day).agg(*(F.sum(c).alias(c) for c in ("__n", "__amount")))
+    places = rolling.place_days(days, results, ["titulo"], day, "num_edital", rows_per_bucket, work=work)
     days = totals.spread_month_totals(
-        days, day, ["titulo"], "financeiro_mes_titulo", "financeiro_mes_mercado"
+        days.drop("__n"), day, ["titulo"], "financeiro_mes_titulo", "financeiro_mes_mercado"
     )
 
     facts = periods.with_match_flag(slots.select(*SLOT), calendar, SLOT, "foi_agendado")
-    facts = facts.join(benchmark_periods(results, benchmarks), [*_BOND, day], "left")
-    facts = periods.null_safe_left_join(facts, days.drop("__n", "__high"), ["titulo", day])
+    facts = facts.join(benchmark_periods(slots, benchmarks), [*_BOND, day], "left")
+    facts = periods.null_safe_left_join(facts, days, bond_day)
+    facts = periods.null_safe_left_join(facts, places, bond_day)
 
     kept = results.columns
     added = [c for c in facts.columns if c not in SLOT and c not in rolling.PLACE]
@@ -132,13 +134,9 @@ def enrich(
         SLOT,
         *kept,
         *added,
-        rolling.bucket_column("num_edital").alias(rolling.BUCKET),
+        *rolling.bucket_columns("num_edital"),
         *(value.alias(name) for name, value in measures().items()),
     )
-    # The bucket ends need four columns of the auctions, not the join above again.
-    narrow = results.select(
-        "titulo", day, "num_edital", "pct_taxa_media", coverage().alias("pct_cobertura")
-    )
     rows = rolling.rolling_means(
         rows,
         ["titulo"],
@@ -149,7 +147,6 @@ def enrich(
             "pct_cobertura_rolling_4": "pct_cobertura",
         },
         rows=4,
-        ends_from=rolling.join_buckets(narrow, days, ["titulo"], day, "num_edital"),
     )
     rate = "pct_taxa_media_rolling_4"
     return rows.select(

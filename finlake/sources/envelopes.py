@@ -90,6 +90,24 @@ def unreadable_messages(messages: DataFrame, message: str = "message") -> DataFr
     return messages.where(~_readable(_trade(message)))
 
 
+def sorted_messages(messages: DataFrame, message: str = "message") -> DataFrame:
+    """Every message with its ``symbol`` and ``payload``, or with the ``reason`` it has none.
+
+    One pass for both sides of :func:`unwrap_messages`; ``message`` stays.
+    """
+    trade, symbol = F.col("__trade"), F.lower(F.coalesce(P.scalar("__trade", "$.s"), F.lit(DEFAULT_SYMBOL)))
+    is_object = F.coalesce(F.schema_of_variant(trade).startswith("OBJECT"), F.lit(False))
+    parsed = messages.withColumn("__trade", _trade(message))
+    return parsed.select(
+        *messages.columns,
+        F.when(_readable(trade), symbol).alias("symbol"),
+        F.when(_readable(trade), F.to_json(trade)).alias("payload"),
+        F.when(~is_object, F.lit("no JSON object"))
+        .when(~_readable(trade), F.lit("symbol is no text"))
+        .alias("reason"),
+    )
+
+
 def _trade(message: str) -> Column:
     whole = P.parse(message)
     return F.coalesce(F.try_variant_get(whole, "$.data", "variant"), whole)

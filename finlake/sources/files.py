@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from finlake.session import job_dir
 
 
 def _fs(spark: SparkSession, path: str):
@@ -67,6 +69,29 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def walk(spark: SparkSession, path: str) -> list[str]:
+    """Files anywhere below a folder, relative to it; none when the folder is absent."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    root = fs.getFileStatus(hadoop_path).getPath().toUri().getPath()
+    found, each = [], fs.listFiles(hadoop_path, True)
+    while each.hasNext():
+        found.append(each.next().getPath().toUri().getPath()[len(root) :].lstrip("/"))
+    return sorted(found)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move one file; a target that a cut move left behind is replaced."""
+    fs, from_path = _fs(spark, source)
+    to_path = _fs(spark, target)[1]
+    fs.mkdirs(to_path.getParent())
+    if fs.exists(to_path):
+        fs.delete(to_path, False)
+    if not fs.rename(from_path, to_path):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def partition_folder(spark: SparkSession, column: str, value) -> str:
     """Folder name of a partition value, escaped as Spark writes it."""
     if value is None:
@@ -79,3 +104,14 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the first partition column, read from folder names only."""
     prefix = f"{column}="
     return [name[len(prefix):] for name in children(spark, path) if name.startswith(prefix)]
+
+
+def hold(frame: DataFrame, label: str, work: str | None = None) -> DataFrame:
+    """Write a reduced frame once, so that several consumers read it instead of computing it.
+
+    Below ``work``, which its owner removes, or in a job folder of its own.
+    """
+    spark = frame.sparkSession
+    path = f"{work}/{label}" if work else job_dir(spark, label)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

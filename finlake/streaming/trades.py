@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from finlake.functions.payload import strip
 from finlake.operators.merge import merge_into
 from finlake.plans.spec import TrustedSpec, build
 from finlake.plans.tables import PARTITION_DAY
-from finlake.sources import landing, raw
-from finlake.sources.envelopes import unwrap_messages
+from finlake.sources import files, landing, raw
+from finlake.sources.envelopes import sorted_messages
+from finlake.streaming.ledger import Ledger, query_id
 
 MAX_MESSAGES = 500
 MAX_AGE = "60 seconds"
@@ -34,32 +35,62 @@ def start_landing(
     drain: bool = False,
     max_messages: int = MAX_MESSAGES,
 ) -> StreamingQuery:
-    """Land messages by symbol and hour of arrival.
+    """Land messages by symbol and hour of arrival; those without a trade are kept apart.
 
     A file holds at most ``max_messages``; a batch closes after ``MAX_AGE``, or with
     ``drain`` when all waiting input is written. The hour is that of the batch, not
-    the trade's; the batch time is in the checkpoint, so a repeated batch goes to the
-    same folder and the sink lists its files once.
+    the trade's, and stays the same when the batch is repeated. Messages that cannot be read go to
+    ``root/_rejected`` with the reason and the batch id (:func:`rejected`); both sides are written in one
+    pass, counted in the ledger ``root/_ledger`` (:func:`landed_counts`), and stored once.
     """
-    trades = unwrap_messages(messages).select(
-        F.col("payload").alias("value"),
-        F.concat("symbol", F.lit("_trades")).alias(landing.ENTITY),
-        F.current_timestamp().alias("arrived"),
-    )
-    parts = [landing.ENTITY, "year", "month", "day", "hour"]
-    writer = (
-        landing.with_path_parts(trades, "arrived", hourly=True)
-        .select("value", *parts)
-        .writeStream.format("csv")
-        .options(**landing.AS_JSON_LINES)
-        .option("maxRecordsPerFile", max_messages)
-        .option("path", root)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*parts)
-    )
+    spark = messages.sparkSession
+    found = sorted_messages(messages.withColumn("arrived", F.current_timestamp()))
+    parts = ["kind", landing.ENTITY, "year", "month", "day", "hour"]
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        refused = F.struct("message", "reason", F.lit(batch_id).alias("batch_id"), "arrived")
+        good = F.col("reason").isNull()
+        rows = landing.with_path_parts(batch, "arrived", hourly=True).select(
+            F.when(good, F.col("payload")).otherwise(F.to_json(refused)).alias("value"),
+            F.when(good, "landed").otherwise("rejected").alias("kind"),
+            F.when(good, F.concat("symbol", F.lit("_trades"))).otherwise("messages").alias(landing.ENTITY),
+            *parts[2:],
+        )
+
+        def write(staging: str) -> dict:
+            seen = Observation()
+            kinds = [F.count_if(F.col("kind") == kind).alias(kind) for kind in ("landed", "rejected")]
+            (
+                rows.observe(seen, *kinds)
+                .write.option("maxRecordsPerFile", max_messages)
+                .partitionBy(*parts)
+                .options(**landing.AS_JSON_LINES)
+                .csv(staging)
+            )
+            return {kind: int(n) for kind, n in seen.get.items()}
+
+        ledger = Ledger(spark, f"{root}/_ledger", query_id(spark, checkpoint))
+        ledger.store_once(batch_id, write, {"kind=landed": root, "kind=rejected": f"{root}/_rejected"})
+
+    writer = found.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return _trigger(writer, drain).start()
 
 
+def landed_counts(spark: SparkSession, root: str, checkpoint: str) -> dict[int, dict]:
+    """Messages landed and rejected by batch, of a landing's latest batches."""
+    return Ledger(spark, f"{root}/_ledger", query_id(spark, checkpoint)).done()
+
+
+def rejected(spark: SparkSession, root: str) -> DataFrame:
+    """Messages a landing could not read: message, reason, batch_id, arrived."""
+    schema = "message string, reason string, batch_id bigint, arrived timestamp"
+    path = f"{root}/_rejected/{landing.ENTITY}=messages"
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    lines = spark.read.schema(_LINES).option("recursiveFileLookup", "true").text(path)
+    return lines.select(F.from_json("value", schema).alias("found")).select("found.*")
+
+
 def _trigger(writer: DataStreamWriter, drain: bool) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=MAX_AGE)
 
@@ -72,11 +103,11 @@ def load_once(
     run_at: datetime,
     remove_source: bool = True,
 ) -> StreamingQuery:
-    """Append every landed file to raw once, then delete it.
+    """Append every landed file to raw exactly once, then delete it.
 
-    The checkpoint remembers the files read. A file is deleted when a later batch
-    has committed, so a failure before that loses nothing; a batch repeated after a
-    failure may append again, which the dedup of the trusted layer absorbs.
+    The checkpoint remembers the files read; a file is deleted when a later batch
+    has committed. The ledger ``raw_path/_ledger`` knows which batches raw holds, so a batch repeated
+    after a failure adds no row, whenever the failure came.
     """
     lines = (
         spark.readStream.schema(_LINES)
@@ -85,13 +116,20 @@ def load_once(
         .option("cleanSource", "delete" if remove_source else "off")
         .text(landing_root)
     )
-    landed = lines.select(
-        strip(F.make_valid_utf8("value")).alias("payload"),
-        F.col("_metadata.file_path").alias("_source_file"),
-    ).where(F.length("payload") > 0)
+    # What a landing keeps apart below its root is not landed.
+    own = ~F.col("_metadata.file_path").rlike("/_(rejected|ledger)/")
+    landed = (
+        lines.where(own)
+        .select(
+            strip(F.make_valid_utf8("value")).alias("payload"),
+            F.col("_metadata.file_path").alias("_source_file"),
+        )
+        .where(F.length("payload") > 0)
+    )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        raw.append(batch, raw_path)
+        ledger = Ledger(spark, f"{raw_path}/_ledger", query_id(spark, checkpoint))
+        ledger.store_once(batch_id, lambda staging: raw.append(batch, f"{staging}/rows"), {"rows": raw_path})
 
     writer = raw.wrap(landed, run_at).writeStream.foreachBatch(load)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,6 +1,7 @@
 """Cases in which rows were once lost or a plan was unbounded."""
 
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,16 +59,39 @@ def test_period_filter_reaches_the_scan(spark, folder):
     assert "GreaterThanOrEqual(d,2024-02-01)" in plan and "LessThan(d,2024-03-01)" in plan
 
 
-def test_open_ended_period_stays_bounded(spark):
-    rows = spark.createDataFrame([("a", date(2024, 1, 5)), ("a", date(2024, 3, 5))], "k string, day date")
-    open_ended = spark.createDataFrame(
-        [("a", date(1900, 1, 1), date(9999, 12, 31)), ("b", LONG_AGO, TODAY)], "k string, s date, e date"
+def test_periods_repeat_a_few_hundred_times_at_most(spark):
+    """An open period beside a day in 9999 (the outlier that once made 95,712 rows a period)."""
+    rows = spark.createDataFrame(
+        [("a", date(2024, 1, 5)), ("a", date(2024, 3, 5)), ("a", date(9999, 12, 31))], "k string, day date"
     )
+    terms = [(date(1, 1, 1), date(9999, 12, 31)), (date(1900, 1, 1), date(9999, 12, 31)),
+             (date(2024, 2, 28), date(2024, 3, 5)), (TODAY, LONG_AGO), (LONG_AGO, None)]
+    open_ended = spark.createDataFrame([("a", *t) for t in terms], "k string, s date, e date")
     joined = periods.interval_join(rows, open_ended, ["k"], "day", "s", "e")
-    assert joined.count() == 2
-    covered = rows.groupBy("k").agg(F.min("day").alias("__first"), F.max("day").alias("__last"))
-    offered = open_ended.join(covered, "k").select(F.explode(periods._months("s", "e")))
-    assert offered.count() == 3
+    assert joined.count() == 7
+    offered = open_ended.select("s", F.explode(periods.blocks_of_period("s", "e"))).groupBy("s").count().collect()
+    assert {r.s: r["count"] for r in offered}[date(2024, 2, 28)] == 2
+    assert len(offered) == 3 and max(r["count"] for r in offered) < 200
+
+
+def test_blocks_of_a_period_cover_its_months_once(spark):
+    rng = random.Random(3)
+    spans = []
+    for i in range(300):
+        first = date(1, 1, 1) + timedelta(days=rng.randrange(3_600_000))
+        last = date.fromordinal(min(first.toordinal() + int(10 ** rng.uniform(0, 6.5)), date.max.toordinal()))
+        spans.append((i, first, last))
+    frame = spark.createDataFrame(spans, "i int, s date, e date")
+    blocks = frame.select("i", F.inline(periods.blocks_of_period("s", "e"))).collect()
+    found = {}
+    for r in blocks:
+        width = 16**r.level
+        found.setdefault(r.i, []).append((r.block * width, (r.block + 1) * width))
+    for i, first, last in spans:
+        got = sorted(found[i])
+        months = [d.year * 12 + d.month - 1 for d in (first, last)]
+        assert got[0][0] == months[0] and got[-1][1] == months[1] + 1
+        assert all(a[1] == b[0] for a, b in zip(got, got[1:]))
 
 
 def test_unreadable_page_raises_or_is_listed(spark):

@@ -166,6 +166,32 @@ def test_buckets_are_small_and_in_order(spark):
     assert all(x[1] < y[0] and x[2] < y[2] for x, y in zip(spans, spans[1:]))
 
 
+def test_one_day_with_outliers_gives_even_buckets(spark):
+    """200,000 rows of one day, their numbers close together but for two."""
+    frame = spark.range(200_000).select(
+        F.when(F.col("id") == 7, F.lit(10**15)).when(F.col("id") == 8, F.lit(-(10**15))).otherwise(F.col("id")).alias("id"),
+        F.lit("one").alias("g"),
+        F.lit(J[3]).alias("d"),
+        (F.col("id") % 1000).cast("double").alias("v"),
+    )
+    cut = rolling.with_buckets(frame, ["g"], "d", "id", 20_000)
+    sizes = [r["count"] for r in cut.groupBy(rolling.BUCKET).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 22_000 and min(sizes) > 18_000
+    assert cut.agg(F.sum(F.size(rolling.LATER))).first()[0] < 10_000
+    got = rolling.rolling_means(cut, ["g"], "d", "id", {"m": "v"})
+    plain = Window.partitionBy("g").orderBy("d", "id").rowsBetween(-3, 0)
+    assert quality.symmetric_difference(got, frame.withColumn("m", F.avg("v").over(plain))).count() == 0
+
+
+def test_repeated_and_missing_numbers_stay_in_one_part(spark):
+    frame = spark.range(500).select(
+        F.when(F.col("id") % 5 > 0, F.col("id") % 7).alias("id"), F.lit("one").alias("g"), F.lit(J[3]).alias("d")
+    )
+    cut = rolling.with_buckets(frame, ["g"], "d", "id", 50)
+    assert cut.groupBy("id").agg(F.count_distinct(rolling.BUCKET).alias("n")).where("n > 1").isEmpty()
+    assert cut.count() == 500 and cut.where(F.col(rolling.BUCKET).isNull()).isEmpty()
+
+
 def test_month_totals_equal_grouped_sums(spark):
     frame = spark.createDataFrame(random_rows(3, 300), "id bigint, g string, d date, v double")
     frame = frame.withColumn("v", F.col("v").cast("decimal(18,2)"))

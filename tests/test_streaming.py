@@ -5,11 +5,12 @@ import os
 import time
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from finlake.plans import models
-from finlake.sources import landing, raw, versions
-from finlake.streaming import trades as stream
+from finlake.sources import files, landing, raw, versions
+from finlake.streaming import ledger, trades as stream
 
 RUN_AT = datetime(2024, 5, 11)
 
@@ -39,6 +40,70 @@ def test_files_hold_at_most_500_messages(spark, folder):
     assert len(sizes) == 3
 
 
+def test_rejected_messages_are_kept_and_counted(spark, folder):
+    bad = ["not json", '{"s":5,"t":1}', "[1]"]
+    put(f"{folder}/in/a.txt", message(1), *bad)
+    land(spark, folder)
+    found = stream.rejected(spark, f"{folder}/landing").orderBy("message").collect()
+    assert [(r.message, r.reason, r.batch_id) for r in found] == [
+        ("[1]", "no JSON object", 0), ("not json", "no JSON object", 0), ('{"s":5,"t":1}', "symbol is no text", 0),
+    ]
+    assert all(r.arrived is not None for r in found)
+    put(f"{folder}/in/b.txt", message(2), "{")
+    land(spark, folder)
+    counts = stream.landed_counts(spark, f"{folder}/landing", f"{folder}/cp")
+    assert counts == {0: {"landed": 1, "rejected": 3}, 1: {"landed": 1, "rejected": 1}}
+    # A loader of the whole area takes what has landed only.
+    stream.load_once(spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/cp2", RUN_AT).awaitTermination()
+    assert raw.read(spark, f"{folder}/raw").count() == 2
+
+
+class Lost(RuntimeError):
+    """The driver is gone."""
+
+
+@pytest.mark.parametrize("step", ["stage", "staged", "move", "done"])
+def test_a_repeated_batch_adds_nothing(spark, folder, monkeypatch, step):
+    """Stopped while staging, before or after a note, or between two moves; then started again."""
+    put(f"{folder}/in/a.txt", *(message(i, s) for i in range(20) for s in ("A", "B")), "not json")
+
+    def stopped(real, after=0):
+        calls = []
+
+        def run(*args, **kw):
+            calls.append(1)
+            if len(calls) > after:
+                raise Lost
+            return real(*args, **kw)
+
+        return run
+
+    def run():
+        land(spark, folder)
+        stream.load_once(
+            spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/cp2", RUN_AT, remove_source=False
+        ).awaitTermination()
+
+    for part in ("land", "load"):
+        with monkeypatch.context() as patched:
+            if step == "stage":
+                patched.setattr(ledger.Ledger, "note", stopped(ledger.Ledger.note))
+            elif step == "staged":
+                patched.setattr(ledger.Ledger, "note", stopped(ledger.Ledger.note, 0 if part == "land" else 2))
+            elif step == "move":
+                patched.setattr(files, "move", stopped(files.move, 1 if part == "land" else 3))
+            else:
+                patched.setattr(ledger.Ledger, "note", stopped(ledger.Ledger.note, 1))
+            with pytest.raises(Exception, match="Lost"):
+                run()
+    run()
+    now = datetime.now().date()
+    scanned = landing.scan(spark, f"{folder}/landing", now.replace(day=1), now, hourly=True)
+    assert scanned.count() == 40 and stream.rejected(spark, f"{folder}/landing").count() == 1
+    assert raw.read(spark, f"{folder}/raw").count() == 40
+    assert not glob.glob(f"{folder}/*/_ledger/staging/*")
+
+
 def test_restart_lands_only_new_messages(spark, folder):
     put(f"{folder}/in/a.txt", message(1))
     land(spark, folder)
