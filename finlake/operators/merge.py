@@ -6,7 +6,7 @@ table, writes the partitions the batch touches once, and publishes them together
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -127,6 +127,7 @@ def merge_into(
     key_fixes_partition: bool = False,
     newer_by: str | None = None,
     layout: str = "",
+    check: Callable[[DataFrame], None] | None = None,
 ) -> Merged:
     """Upsert a batch into the versioned Parquet table at ``path`` (see :mod:`versions`).
 
@@ -138,6 +139,9 @@ def merge_into(
     leftovers go with the next commit. A second writer on the same table raises instead
     of losing rows.
 
+    ``check`` is called with the written partitions before they are published; if it raises, the
+    table stays as it was. Other partitions hold neither a new row nor another row of a new key.
+
     With ``newer_by`` a stored row that is newer than the batch's is kept. A folder that
     holds data without a manifest, or a table of another ``layout`` or partition column than this
     one, raises and is left as it is.
@@ -148,6 +152,7 @@ def merge_into(
         if files.has_data(spark, path):
             raise ValueError(f"{path} holds data but no manifest of a completed write; see versions.adopt")
         folders = versions.write(batch, path, partition)
+        _checked(spark, path, _stored(batch.schema), partition, folders, check)
         versions.publish(spark, path, _stored(batch.schema), partition, folders, None, layout)
         return Merged(tuple(folders), 0, len(folders))
     if state.layout != layout or state.partition != partition:
@@ -155,6 +160,7 @@ def merge_into(
     require_same_columns(state.schema, batch.schema)
     if not state.folders:  # all builds so far were empty
         folders = versions.write(batch, path, partition)
+        _checked(spark, path, state.schema, partition, folders, check)
         versions.publish(spark, path, state.schema, partition, folders, state, layout)
         return Merged(tuple(folders), 0, len(folders))
 
@@ -183,6 +189,7 @@ def merge_into(
             merged = upsert(affected, batch, keys, null_safe)
         # A partition all of whose rows moved elsewhere gets no folder and is listed no more.
         made = versions.write(merged, path, partition)
+        _checked(spark, path, state.schema, partition, made, check)
         kept = {name: folder for name, folder in state.folders.items() if name not in names}
         versions.publish(spark, path, state.schema, partition, {**kept, **made}, state, layout)
         return Merged(tuple(names), len(state.folders), len(kept) + len(made))
@@ -190,6 +197,18 @@ def merge_into(
         files.remove(spark, held)
 
 
+def _checked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    partition: str,
+    folders: dict[str, str],
+    check: Callable[[DataFrame], None] | None,
+) -> None:
+    if check:
+        check(versions.read(spark, path, versions.state(0, schema, partition, folders)))
+
+
 def _stored(schema: T.StructType) -> T.StructType:
     """Column names and types alone: stored columns may always be null."""
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from finlake.functions.dates import days_between
-from finlake.functions.numbers import AT_REST, minus, plus_optional, rounded, safe_divide
+from finlake.functions.numbers import AT_REST, IN_SUMS, minus, plus_optional, rounded, safe_divide
 from finlake.operators import periods, rolling, totals
 from finlake.plans.spec import INSERT_DATE
 from finlake.sources import files
@@ -203,3 +203,42 @@ def stressed(enriched: DataFrame, ordered: bool = True) -> DataFrame:
         "foi_agendado",
     )
     return short.orderBy(F.desc("data_leilao"), "num_edital") if ordered else short
+
+
+def _rounded_sql(expression: str, digits: int) -> str:
+    """:func:`rounded` in SQL."""
+    return f"CAST(ROUND(CAST({expression} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+
+
+# The two lists as text, for views of the catalog, which hold SQL only. They say what
+# summarize_by_title and stressed say.
+BY_TITLE_SQL = f"""
+SELECT titulo, benchmark, COUNT(*) AS num_leiloes,
+       MIN(data_leilao) AS data_primeiro_leilao, MAX(data_leilao) AS data_ultimo_leilao,
+       {_rounded_sql("AVG(pct_taxa_media)", 4)} AS pct_taxa_media_historica,
+       {_rounded_sql("MIN(pct_taxa_media)", 4)} AS pct_taxa_minima_historica,
+       {_rounded_sql("MAX(pct_taxa_maxima)", 4)} AS pct_taxa_maxima_historica,
+       {_rounded_sql("AVG(pct_cobertura)", 3)} AS pct_cobertura_media,
+       COUNT_IF(pct_cobertura < 1) AS leiloes_sem_cobertura,
+       {_rounded_sql("CAST(SUM(financeiro_total) AS DOUBLE) / 1e9", 2)} AS financeiro_total_bi,
+       {_rounded_sql("CAST(AVG(financeiro_total) AS DOUBLE) / 1e6", 2)} AS ticket_medio_mi,
+       {_rounded_sql("AVG(dias_ate_vencimento) / 365.0D", 1)} AS prazo_medio_anos
+FROM {{enriched}} GROUP BY titulo, benchmark
+ORDER BY financeiro_total_bi DESC, titulo, benchmark
+"""
+
+_DELTA_SQL = f"CAST(pct_taxa_media AS {IN_SUMS}) - CAST(pct_taxa_media_rolling_4 AS {IN_SUMS})"
+
+STRESS_SQL = f"""
+SELECT data_leilao, titulo, benchmark, tipo_leilao, num_edital, qtd_oferta, qtd_aceita,
+       {_rounded_sql("pct_cobertura", 3)} AS pct_cobertura,
+       {_rounded_sql("pct_taxa_media", 4)} AS pct_taxa_media,
+       {_rounded_sql("pct_taxa_maxima", 4)} AS pct_taxa_maxima,
+       {_rounded_sql("pct_spread_taxa", 4)} AS pct_spread_taxa,
+       {_rounded_sql("CAST(financeiro_total AS DOUBLE) / 1e6", 2)} AS financeiro_mi,
+       {_rounded_sql("pct_taxa_media_rolling_4", 4)} AS pct_taxa_media_rolling_4,
+       {_rounded_sql(_DELTA_SQL, 4)} AS pct_delta_vs_rolling,
+       foi_agendado
+FROM {{enriched}} WHERE pct_cobertura < 1
+ORDER BY data_leilao DESC, num_edital
+"""

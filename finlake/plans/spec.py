@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from finlake.functions import dates, numbers, payload as P
 from finlake.operators.latest import latest
@@ -109,32 +109,36 @@ def select_window(
     return rows
 
 
-def _documents(rows: DataFrame, spec: TrustedSpec) -> DataFrame:
-    """Rows with their parsed payload, counted on the way.
+def _documents(rows: DataFrame, spec: TrustedSpec, seen: Observation | None) -> DataFrame:
+    """Rows with their parsed payload, counted on the way into ``seen``.
 
     The observed counts also keep Catalyst from moving path conditions below the
     parse, which would parse every payload twice.
     """
     parsed = rows.withColumn("__doc", P.parse("payload"))
     return parsed.observe(
-        f"{spec.name}-{uuid.uuid4().hex[:8]}",
+        seen or f"{spec.name}-{uuid.uuid4().hex[:8]}",
         F.count(F.lit(1)).alias("payloads"),
         F.count_if(F.col("__doc").isNull()).alias("malformed"),
     )
 
 
 def type_payloads(
-    rows: DataFrame, spec: TrustedSpec, strict: bool = True, late_errors: str | None = None
+    rows: DataFrame,
+    spec: TrustedSpec,
+    strict: bool = True,
+    late_errors: str | None = None,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Typed columns of the payloads that hold all required values.
 
     ``strict`` raises on a value that does not fit its type; otherwise it is null
     and :func:`quarantine` lists the row. With ``late_errors`` a column of that name
-    lists the fields that do not fit, and only key and order columns raise.
+    lists the fields that do not fit, and only key and order columns raise, if ``strict``.
     """
     first = {*spec.key, spec.event_order}
     errors = []
-    texts = _documents(rows, spec).select(
+    texts = _documents(rows, spec, seen).select(
         "*", *(P.text_at("__doc", f.path).alias(_text_name(f)) for f in spec.fields)
     )
     for field in spec.fields:
@@ -142,7 +146,7 @@ def type_payloads(
             texts = texts.where(_scalar(field).isNotNull())
     if late_errors:
         for f in spec.fields:
-            if f.name not in first:
+            if not strict or f.name not in first:
                 misfit = _scalar(f).isNotNull() & f.typed(_scalar(f), False).isNull()
                 errors.append(F.when(misfit, F.lit(f.name)))
     listed = [F.array_compact(F.array(*errors)).alias(late_errors)] if late_errors else []
@@ -180,6 +184,29 @@ def quarantine(rows: DataFrame, spec: TrustedSpec) -> DataFrame:
     )
 
 
+def _latest_typed(
+    rows: DataFrame, spec: TrustedSpec, strict: bool, seen: Observation | None, misfits: bool
+) -> DataFrame:
+    """The latest record of each key, with ``_ingested_at``, ``__tie`` and, if asked, ``__misfits``.
+
+    Not strict, a record whose key or order does not fit cannot be compared and stays by itself.
+    """
+    window = rows.select("payload", "_ingested_at", F.xxhash64("payload").alias("__tie"))
+    typed = type_payloads(window, spec, strict, "__misfits" if misfits else None, seen)
+    order = [spec.event_order] if spec.event_order else []
+    newest = [F.col(c).desc_nulls_last() for c in [*order, "_ingested_at", "__tie"]]
+    keys = list(spec.key)
+    if misfits and not strict:
+        alone = F.arrays_overlap("__misfits", F.array(*(F.lit(c) for c in [*keys, *order])))
+        typed = typed.withColumn("__alone", F.when(alone, F.col("__tie")))
+        return latest(typed, [*keys, "__alone"], newest).drop("__alone")
+    return latest(typed, keys, newest)
+
+
+def stamp(run_at: datetime) -> Column:
+    return F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
+
+
 def build(
     rows: DataFrame,
     spec: TrustedSpec,
@@ -188,24 +215,44 @@ def build(
     incremental: bool = False,
     start_date: date | None = None,
     strict: bool = True,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """The model's rows of a raw table: typed, latest record per key, stamped.
 
     Keys are compared after typing, so ``01`` and ``1`` are one integer key as
     they are in the table. Records of one run share their ingest time; a hash of
     the payload then decides, so that a re-run picks the same record without the
-    payloads in the shuffle.
+    payloads in the shuffle. ``seen`` observes the number of payloads and of malformed ones.
     """
     window = select_window(rows, spec, as_of or run_at.date(), incremental, start_date)
-    window = window.select("payload", "_ingested_at", F.xxhash64("payload").alias("__tie"))
-    typed = type_payloads(window, spec, strict, late_errors="__misfits" if strict else None)
-    order = [spec.event_order] if spec.event_order else []
-    newest = [F.col(c).desc_nulls_last() for c in [*order, "_ingested_at", "__tie"]]
-    stamp = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
-    survivors = latest(typed, list(spec.key), newest)
+    survivors = _latest_typed(window, spec, strict, seen, misfits=strict)
+    stamped = stamp(run_at)
     if strict:
         # Only what enters the table must fit: a correction repairs the record it replaces.
         message = F.concat(F.lit(f"{spec.name}: values that do not fit: "), F.array_join("__misfits", ", "))
-        fits = F.when(F.size("__misfits") > 0, F.raise_error(message).cast("timestamp")).otherwise(stamp)
-        stamp = fits
-    return survivors.select(*(f.name for f in spec.fields), stamp.alias(INSERT_DATE))
+        stamped = F.when(F.size("__misfits") > 0, F.raise_error(message).cast("timestamp")).otherwise(stamped)
+    return survivors.select(*(f.name for f in spec.fields), stamped.alias(INSERT_DATE))
+
+
+def survivors(rows: DataFrame, spec: TrustedSpec, seen: Observation | None = None) -> DataFrame:
+    """Latest records of raw rows of a model's window, those that do not fit included.
+
+    The fields, ``__misfits`` (names of the fields that do not fit), and ``__tie`` and ``_ingested_at``, by
+    which :func:`misfits` finds the payload again.
+    """
+    return _latest_typed(rows, spec, strict=False, seen=seen, misfits=True)
+
+
+def misfits(rows: DataFrame, found: DataFrame, spec: TrustedSpec, malformed: bool) -> DataFrame:
+    """Quarantine rows: the payloads of survivors that do not fit, and malformed ones if asked, with reasons."""
+    kinds = F.create_map(*[x for f in spec.fields for x in (F.lit(f.name), F.lit(f"{f.name}: not {f.kind}"))])
+    bad = found.where(F.size("__misfits") > 0).select(
+        "__tie", "_ingested_at", F.transform("__misfits", lambda name: kinds[name]).alias("reasons")
+    )
+    marked = rows.select("payload", "_source_file", "_ingested_at", F.xxhash64("payload").alias("__tie"))
+    listed = marked.join(bad, ["__tie", "_ingested_at"])
+    if malformed:
+        broken = marked.where(P.parse("payload").isNull())
+        listed = listed.unionByName(broken.withColumn("reasons", F.array(F.lit("malformed payload"))))
+    latest_first = [F.col("_ingested_at").desc(), F.col("_source_file")]
+    return latest(listed.withColumnRenamed("__tie", "payload_hash"), ["payload_hash"], latest_first)

@@ -6,18 +6,23 @@ import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from finlake.operators import quality
 from finlake.operators.merge import BUCKET, Merged, bucket_of, merge_into, month_of_key, range_of_key
 from finlake.plans import models, refined
-from finlake.plans.spec import KINDS, TrustedSpec, build
+from finlake.plans.spec import INSERT_DATE, TrustedSpec, build, misfits, select_window, stamp, survivors
+from finlake.session import job_dir
 from finlake.sources import files, raw, versions
 
 # One database per layer, with these names whatever the target is called.
 LAYERS = ("raw", "trusted", "refined", "governance")
 PARTITION_DAY, PARTITION_MONTH, PARTITION_RANGE = "_partition_day", "_partition_month", "_partition_range"
 RANGE_WIDTH = 1_000
+QUARANTINE = (
+    "payload_hash bigint, payload string, reasons array<string>, _source_file string, "
+    "_ingested_at timestamp, quarantined_at timestamp, model string"
+)
 
 
 def create_layers(spark: SparkSession) -> None:
@@ -30,6 +35,16 @@ def qualified(layer: str | None, name: str, default: str = "default") -> str:
     return f"{layer.strip() if layer else default}.{name}"
 
 
+@dataclass(frozen=True)
+class Refreshed:
+    """What a refresh read, left aside and merged."""
+
+    payloads: int
+    malformed: int
+    quarantined: int
+    merged: Merged
+
+
 @dataclass
 class Lake:
     """Tables below one root folder all executors can reach."""
@@ -100,31 +115,77 @@ class Lake:
         full: bool = False,
         null_safe: bool = True,
         check: bool = True,
-    ) -> Merged:
+        quarantine: bool = False,
+    ) -> Refreshed:
         """Build a model from raw and merge it into its table.
 
         The first build reads all of raw, later ones the lookback window or the
-        days since ``start_date``.
+        days since ``start_date``. A latest record that does not fit its types stops the run;
+        with ``quarantine`` it is written to ``governance/quarantine`` with its reasons, and the others
+        are merged. Malformed payloads are counted, and with ``quarantine`` kept as well. The checks
+        run on the new partitions before they are published, so a failing batch is never visible.
         """
         incremental = self.is_built(spec) and not full
-        batch = build(
-            self.raw(spec.source, spec.multiplexed), spec, run_at, as_of, incremental, start_date
+        rows, seen = self.raw(spec.source, spec.multiplexed), Observation()
+        work = job_dir(self.spark, "refresh")
+        try:
+            if quarantine:
+                window = select_window(rows, spec, as_of or run_at.date(), incremental, start_date)
+                found = files.hold(survivors(window, spec, seen), "survivors", work)
+                fits = found.where(F.size("__misfits") == 0)
+                batch = fits.select(*(f.name for f in spec.fields), stamp(run_at).alias(INSERT_DATE))
+            else:
+                batch = build(rows, spec, run_at, as_of, incremental, start_date, seen=seen)
+            batch, partition = self.placed(batch, spec)
+            done = merge_into(
+                self.spark,
+                self.path("trusted", spec.name),
+                batch,
+                spec.key,
+                partition,
+                null_safe=null_safe,
+                key_fixes_partition=spec.partition_day is None,
+                layout=self.layout(spec),
+                check=(lambda new: quality.require(new, spec.checks, spec.name)) if check else None,
+            )
+            counts, kept = {name: int(n) for name, n in seen.get.items()}, 0
+            if quarantine:
+                kept = self._quarantine(spec, window, found, run_at, counts["malformed"] > 0)
+        finally:
+            files.remove(self.spark, work)
+        self._register_partitions(spec)
+        return Refreshed(counts["payloads"], counts["malformed"], kept, done)
+
+    def _quarantine(
+        self, spec: TrustedSpec, window: DataFrame, found: DataFrame, run_at: datetime, malformed: bool
+    ) -> int:
+        """Merge this run's misfits into the quarantine table; the same payload counts once."""
+        seen = Observation()
+        rows = misfits(window, found, spec, malformed).select(
+            F.lit(spec.name).alias("model"),
+            "payload_hash",
+            "payload",
+            "reasons",
+            "_source_file",
+            "_ingested_at",
+            stamp(run_at).alias("quarantined_at"),
         )
-        batch, partition = self.placed(batch, spec)
-        done = merge_into(
+        merge_into(
             self.spark,
-            self.path("trusted", spec.name),
-            batch,
-            spec.key,
-            partition,
-            null_safe=null_safe,
-            key_fixes_partition=spec.partition_day is None,
-            layout=self.layout(spec),
+            self.path("governance", "quarantine"),
+            rows.observe(seen, F.count(F.lit(1)).alias("n")),
+            ["model", "payload_hash"],
+            "model",
+            key_fixes_partition=True,
         )
-        self._register_partitions(spec)
-        if check:
-            quality.require(self.trusted(spec), spec.checks, spec.name)
-        return done
+        return int(seen.get["n"])
+
+    def quarantined(self, spec: TrustedSpec | None = None) -> DataFrame:
+        """Payloads kept out of the trusted tables: model, payload, reasons, where and when they came."""
+        found = versions.read(self.spark, self.path("governance", "quarantine"))
+        if found is None:
+            found = self.spark.createDataFrame([], QUARANTINE)
+        return found.where(F.col("model") == spec.name) if spec else found
 
     def _register_partitions(self, spec: TrustedSpec) -> None:
         """Let a described catalog table follow the manifest, partition by partition."""
@@ -157,22 +218,26 @@ class Lake:
         self.spark.catalog.refreshTable(table)
 
     def publish_refined(self, run_at: datetime, check: bool = True) -> None:
-        """Rebuild the enriched table and point the three views at the new version.
+        """Rebuild the enriched table and point the three views of ``refined`` at the new version.
 
-        ``refined.tesouro_leiloes_enriched`` is in the catalog; the summary and the
-        stress list are views of the session, evaluated on read.
+        ``tesouro_leiloes_enriched``, ``tesouro_leiloes_por_titulo`` and ``tesouro_leiloes_stress``
+        are views of the catalog, so every session sees them; the latter two are evaluated on read.
 
         Readers of the old version are not disturbed: each run writes a new
         folder and the view is replaced at the end.
         """
         create_layers(self.spark)
-        enriched = refined.enrich(
-            self.trusted(models.RESULTS), self.trusted(models.CALENDAR), self.trusted(models.BENCHMARKS)
-        )
+        work = job_dir(self.spark, "enrich")
         folder = self.path("refined", "tesouro_leiloes_enriched")
         name = f"version={run_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         version = f"{folder}/{name}"
-        enriched.write.parquet(version)
+        try:
+            enriched = refined.enrich(
+                self.trusted(models.RESULTS), self.trusted(models.CALENDAR), self.trusted(models.BENCHMARKS), work=work
+            )
+            enriched.write.parquet(version)
+        finally:
+            files.remove(self.spark, work)
         table = self.spark.read.schema(enriched.schema).parquet(version)
         if check:
             checked = {
@@ -182,11 +247,13 @@ class Lake:
             }
             for model, rows in checked.items():
                 quality.require(rows, models.REFINED_CHECKS.get(model, []), model)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW refined.tesouro_leiloes_enriched AS SELECT * FROM parquet.`{version}`"
-        )
-        self.by_title().createOrReplaceTempView("tesouro_leiloes_por_titulo")
-        self.stressed().createOrReplaceTempView("tesouro_leiloes_stress")
+        base = qualified("refined", "tesouro_leiloes_enriched")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {base} AS SELECT * FROM parquet.`{version}`")
+        for view, text in (
+            ("tesouro_leiloes_por_titulo", refined.BY_TITLE_SQL),
+            ("tesouro_leiloes_stress", refined.STRESS_SQL),
+        ):
+            self.spark.sql(f"CREATE OR REPLACE VIEW {qualified('refined', view)} AS {text.format(enriched=base)}")
         # By publication, not by run_at: the version before this one stays for queries
         # that still read it.
         live = f"{folder}/_live"
@@ -201,10 +268,10 @@ class Lake:
 
     def by_title(self) -> DataFrame:
         """Evaluated on read, like :meth:`stressed`."""
-        return refined.summarize_by_title(self.enriched())
+        return self.spark.table("refined.tesouro_leiloes_por_titulo")
 
     def stressed(self) -> DataFrame:
-        return refined.stressed(self.enriched())
+        return self.spark.table("refined.tesouro_leiloes_stress")
 
     def describe(self, layer: str, name: str, schema: T.StructType, comment: str, partition: str) -> None:
         """Register a table with its comments in the catalog."""

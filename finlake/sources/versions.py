@@ -53,6 +53,13 @@ class Manifest:
         return f"{body}\n{zlib.crc32(body.encode())}"
 
 
+def state(
+    number: int, schema: T.StructType, partition: str, folders: dict[str, str], layout: str = ""
+) -> Manifest:
+    """A state of a table, also one that is not published."""
+    return Manifest(number, partition, json.dumps(schema.jsonValue()), layout, folders)
+
+
 def _parsed(text: str) -> Manifest | None:
     body, _, check = text.rpartition("\n")
     if not check.isdigit() or int(check) != zlib.crc32(body.encode()):
@@ -107,7 +114,7 @@ def publish(
     if (now and now.number) != (before and before.number):
         raise RuntimeError(f"{path} was changed by another writer")
     number = max([0, *_numbers(spark, path)]) + 1
-    made = Manifest(number, partition, json.dumps(schema.jsonValue()), layout, folders)
+    made = state(number, schema, partition, folders, layout)
     files.write_text(spark, f"{path}/{MANIFESTS}/{number:012d}", made.text(), overwrite=False)
     _clean(spark, path, made, before)
     return made
@@ -156,7 +163,7 @@ def adopt(spark: SparkSession, path: str, partition: T.StructField, layout: str
         raise ValueError(f"{path} is already published")
     found = spark.read.parquet(path).schema
     schema = T.StructType([partition if f.name == partition.name else f for f in found])
-    folders = write(spark.read.schema(schema).parquet(path), f"{path}", partition.name)
+    folders = write(spark.read.schema(schema).parquet(path), path, partition.name)
     publish(spark, path, schema, partition.name, folders, None, layout)
     for folder in files.children(spark, path):
         if folder.startswith(f"{partition.name}="):

@@ -327,6 +327,88 @@ def test_lake_checks_stop_the_run(spark, folder):
         lake.refresh(spec, datetime(2024, 5, 2))
 
 
+TRADE = '{{"e":"trade","E":{e},"s":"X","t":{t},"p":"{p}","q":"1","T":{at},"m":true}}'
+DAY = 86_400_000
+
+
+def trade_rows(spark, now, *entries):
+    data = [(text, f"f{i}.jsonl", now, now.date()) for i, text in enumerate(entries)]
+    return spark.createDataFrame(data, raw.PAYLOAD_SCHEMA)
+
+
+def test_failed_checks_leave_the_table_as_it_was(spark, folder):
+    lake, spec = Lake(spark, folder), models.TRADES
+    path, now = lake.path("raw", spec.source), datetime(2024, 5, 10, 3, 0)
+    raw.append(trade_rows(spark, now, TRADE.format(e=1, t=1, p=10, at=DAY)), path)
+    done = lake.refresh(spec, now)
+    assert (done.payloads, done.malformed, done.quarantined, done.merged.after) == (1, 0, 0, 1)
+    raw.append(trade_rows(spark, now, TRADE.format(e=2, t=1, p=11, at=DAY).replace('"p":"11",', "")), path)
+    with pytest.raises(ValueError, match="not_null:price"):
+        lake.refresh(spec, now)
+    assert [(r.trade_id, float(r.price)) for r in lake.trusted(spec).collect()] == [(1, 10.0)]
+
+
+def test_quarantine_keeps_bad_records_and_goes_on(spark, folder):
+    lake, spec = Lake(spark, folder), models.TRADES
+    path, now = lake.path("raw", spec.source), datetime(2024, 5, 10, 3, 0)
+    bad_price, bad_key = TRADE.format(e=5, t=1, p="abc", at=DAY), TRADE.format(e=5, t='"x1"', p=3, at=DAY)
+    bad_order = TRADE.format(e='"soon"', t=4, p=3, at=DAY)
+    raw.append(
+        trade_rows(
+            spark, now, TRADE.format(e=1, t=1, p=10, at=DAY), bad_price, bad_key, bad_order, "{broken",
+            TRADE.format(e=1, t=2, p="old", at=DAY), TRADE.format(e=2, t=2, p=7, at=DAY),
+        ),
+        path,
+    )
+    with pytest.raises(Exception):
+        lake.refresh(spec, now)
+    assert not lake.is_built(spec)
+    for _ in range(2):  # a repeated run finds the same payloads and keeps each once
+        done = lake.refresh(spec, now, quarantine=True)
+        assert (done.payloads, done.malformed, done.quarantined) == (7, 1, 4)
+        # The newest record of trade 1 does not fit, so the trade waits for its correction.
+        assert [(r.trade_id, float(r.price)) for r in lake.trusted(spec).collect()] == [(2, 7.0)]
+        kept = {r.payload: r.reasons for r in lake.quarantined(spec).collect()}
+        assert kept == {
+            bad_price: ["price: not numeric"], bad_key: ["trade_id: not integer"],
+            bad_order: ["event_time: not epoch_millis"], "{broken": ["malformed payload"],
+        }
+    assert lake.quarantined().count() == 4 and lake.quarantined(models.DEALERS).count() == 0
+    assert lake.quarantined().schema["reasons"].dataType == T.ArrayType(T.StringType())
+
+
+def test_refresh_of_an_empty_source(spark, folder):
+    lake = Lake(spark, folder)
+    for quarantine in (False, True):
+        done = lake.refresh(models.REPORTS, datetime(2024, 5, 10), quarantine=quarantine)
+        assert (done.payloads, done.quarantined, done.merged.after) == (0, 0, 0)
+    assert lake.trusted(models.REPORTS).count() == 0 and lake.quarantined().count() == 0
+
+
+def test_bounds_of_stored_columns_prune_folders(spark, folder):
+    lake, now = Lake(spark, folder), datetime(2024, 5, 10)
+    start = 1_704_067_200_000  # 2024-01-01
+    entries = [TRADE.format(e=i, t=i, p=1, at=start + i * DAY // 2) for i in range(100)]
+    raw.append(trade_rows(spark, now, *entries), lake.path("raw", models.TRADES.source))
+    lake.refresh(models.TRADES, now)
+    first, last = datetime(2024, 1, 10, 12), datetime(2024, 1, 12)
+    found = lake.trusted(models.TRADES, first, last)
+    assert sorted(r.trade_id for r in found.collect()) == [19, 20, 21, 22]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    pruned = text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "_partition_day" in pruned and "2024-01-10" in pruned and "2024-01-12" in pruned
+    assert len({r[0] for r in found.select(F.input_file_name()).collect()}) <= 3
+    raw.append(
+        payload_rows(spark, [(n, "r", datetime(2024, 5, 10)) for n in range(0, 9_000, 500)]),
+        lake.path("raw", models.REPORTS.source),
+    )
+    lake.refresh(models.REPORTS, now)
+    found = lake.trusted(models.REPORTS, first=4_000, last=4_500)
+    assert sorted(r.num_relatorio for r in found.collect()) == [4_000, 4_500]
+    with pytest.raises(ValueError, match="hash"):
+        lake.trusted(models.ANNOUNCEMENTS, first=1)
+
+
 def test_layers_and_comments(spark, folder):
     assert qualified("trusted", "t") == "trusted.t" and qualified(None, "t") == "default.t"
     create_layers(spark)

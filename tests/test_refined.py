@@ -250,8 +250,12 @@ def test_published_views_read_the_newest_version(spark, folder):
         assert lake.enriched().count() == len(numbers)
         assert lake.by_title().first().num_leiloes == len(numbers)
         assert lake.stressed().count() == len(numbers)
-        assert spark.sql("SELECT * FROM tesouro_leiloes_stress").count() == len(numbers)
-        assert spark.sql("SELECT num_leiloes FROM tesouro_leiloes_por_titulo").first()[0] == len(numbers)
+        other = spark.newSession()
+        assert other.sql("SELECT * FROM refined.tesouro_leiloes_stress").count() == len(numbers)
+        assert other.sql("SELECT num_leiloes FROM refined.tesouro_leiloes_por_titulo").first()[0] == len(numbers)
+        for view, rows in (("por_titulo", refined.summarize_by_title), ("stress", refined.stressed)):
+            got, want = spark.table(f"refined.tesouro_leiloes_{view}"), rows(lake.enriched())
+            assert got.dtypes == want.dtypes and got.collect() == want.collect()
     import os
 
     def versions():
