@@ -6,10 +6,12 @@ passage covers and one threshold fits all entries. Every document is cut into
 overlapping passages, each passage is a query, and every entry at or above the threshold
 is retrieved: passages for which no block of entries can reach the threshold, by the sum
 of its terms' block maxima, fall out in one vectorised step; the others go through WAND.
-A document may hold an item in pieces that lie passages apart, so items of which it has
-enough hashed shingles are retrieved too, whatever its passages score. Retrieved items are
-verified on the document by shared five-word shingles: ``OVERLAP`` of a whole item's
-shingles convicts. The overlaps of its question and answer are only reported.
+Each retrieved item is verified where it was found, on the passage and as many words around it as
+the item is long: a stretch that holds ``SIDE`` of the question's words and of the answer's
+words, weighted by their rarity, convicts, in whatever order they stand, so rewordings are found
+that share few shingles. A document may also hold an item in pieces that lie passages apart, which no
+passage shows: items of whose hashed five-word shingles it has ``OVERLAP`` are
+added, whatever its passages score.
 
 The index is built and searched in shards of bounded size, one scan of the documents per
 shard, so what is sent to executors never grows with the benchmark.
@@ -40,6 +42,8 @@ STRIDE = 32
 THRESHOLD = 0.6
 SHINGLE = 5
 OVERLAP = 0.8
+# Share of the rarity of a question's and of an answer's words that a retrieved stretch must hold.
+SIDE = 0.8
 # Postings of a block within a term's list, and entries of a block in the table of bounds.
 BLOCK = 16
 BLOCK_ENTRIES = 4
@@ -127,6 +131,11 @@ class Index:
             last_question = max(0, asked - SHINGLE + 1)
             self.parts.append((own, set(own[:last_question]) or set(own), set(own[last_question:]) or set(own)))
         self.shingle_counts = np.array([len(set(own)) for own, _, _ in self.parts])
+        self.rarity = np.array([idf[t] for t in self.term_id] + [0.0])
+        self.sides = []
+        for (_, text), words in zip(items, self.words, strict=True):
+            ids, asked = np.array([self.term_id[w] for w in words], dtype=np.int64), question_words(text)
+            self.sides.append((np.unique(ids[:asked]), np.unique(ids[asked:] if asked < len(ids) else ids)))
         self._hash_shingles()
 
     def _hash_shingles(self) -> None:
@@ -245,17 +254,32 @@ class Index:
             doc = int(np.searchsorted(offset, k, side="right")) - 1
             yield doc, (k - int(offset[doc])) * STRIDE
 
-    def candidates(self, docs: list[np.ndarray], threshold: float) -> list[dict[int, float]]:
-        """Per document, items with an entry at or above the threshold in some passage, and
-        their best score."""
-        best: list[dict[int, float]] = [{} for _ in docs]
+    def side_shares(self, region: np.ndarray, item: int) -> tuple[float, float]:
+        """Shares of an item's question and answer, by the rarity of their words, that a stretch holds."""
+        shares = []
+        for own in self.sides[item]:
+            weights = self.rarity[own]
+            shares.append(float(weights[np.isin(own, region)].sum() / weights.sum()))
+        return shares[0], shares[1]
+
+    def candidates(self, docs: list[np.ndarray], threshold: float) -> list[dict[int, tuple[float, float, float]]]:
+        """Per document, items with an entry at or above the threshold in some passage: their best
+        score, and the shares of question and answer of the stretch that holds most of both."""
+        best: list[dict[int, tuple[float, float, float]]] = [{} for _ in docs]
         unknown = len(self.term_id)
         for doc, start in self.survivors(docs, threshold):
             terms = np.unique(docs[doc][start : start + PASSAGE_WORDS])
             terms = terms[terms != unknown]
+            scores: dict[int, float] = {}
             for entry, score in self.wand(terms.tolist(), threshold):
                 item = self.item_of[entry]
-                best[doc][item] = max(score, best[doc].get(item, 0.0))
+                scores[item] = max(score, scores.get(item, 0.0))
+            for item, score in scores.items():
+                around = len(self.words[item])
+                region = docs[doc][max(0, start - around) : start + PASSAGE_WORDS + around]
+                known = best[doc].get(item, (0.0, 0.0, 0.0))
+                sides = known[1:] if min(known[1:]) >= 1 else max(known[1:], self.side_shares(region, item), key=min)
+                best[doc][item] = max(score, known[0]), *sides
         return best
 
     def sharing(self, docs: list[np.ndarray]) -> list[list[int]]:
@@ -299,10 +323,10 @@ class Index:
             best = max(best, float(weights[passage[passage >= 0]].sum(axis=0).max()))
         return best
 
-    def _verified(self, words: list[bytes], best: dict[int, float]) -> list[tuple[int, float, float, float, float]]:
+    def _verified(self, words: list[bytes], best: dict[int, tuple[float, float, float]]) -> list[tuple]:
         held = set(shingles(words)) if len(words) >= SHINGLE else set()
         found = []
-        for item, score in sorted(best.items()):
+        for item, (score, question_words, answer_words) in sorted(best.items()):
             own, question, answer = self.parts[item]
             own_set = set(own)
             if len(self.words[item]) < SHINGLE:
@@ -310,12 +334,15 @@ class Index:
                 held = held | {s for s in own_set if b" " + s + b" " in joined}
             whole = len(own_set & held) / len(own_set)
             asked, answered = len(question & held) / len(question), len(answer & held) / len(answer)
-            if whole >= OVERLAP:
-                found.append((self.items[item][0], score, whole, asked, answered))
+            # An item shorter than a shingle is its few words, in order.
+            worded = len(self.words[item]) >= SHINGLE and min(question_words, answer_words) >= SIDE
+            if whole >= OVERLAP or worded:
+                found.append((self.items[item][0], score, whole, asked, answered, question_words, answer_words))
         return found
 
-    def matches(self, texts: list[str | None], threshold: float) -> list[list[tuple[int, float, float, float, float]]]:
-        """Per text, (item, score, overlap, question overlap, answer overlap) of verified items."""
+    def matches(self, texts: list[str | None], threshold: float) -> list[list[tuple]]:
+        """Per text, the verified items: item, score, the shingle overlaps of the whole, its question and
+        its answer, and the word shares of question and answer in the retrieved stretch (0: not retrieved)."""
         found: list[list] = []
         words: list[list[bytes]] = []
         size = 0
@@ -326,7 +353,7 @@ class Index:
             ids = [np.array(list(map(self.term_id.get, w, unknown)), dtype=np.int64) for w in words]
             best = self.candidates(ids, threshold) if ids else []
             for own, doc, items in zip(best, ids, self.sharing(ids) if ids else [], strict=True):
-                own.update({item: self.score(doc, item) for item in items if item not in own})
+                own.update({item: (self.score(doc, item), 0.0, 0.0) for item in items if item not in own})
             found.extend(self._verified(w, b) if b else [] for w, b in zip(words, best, strict=True))
             words.clear()
             size = 0
@@ -376,7 +403,10 @@ MATCHES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
         T.StructField("item_id", T.LongType()),
-        *[T.StructField(n, T.DoubleType()) for n in ("score", "overlap", "question_overlap", "answer_overlap")],
+        *[
+            T.StructField(n, T.DoubleType())
+            for n in ("score", "overlap", "question_overlap", "answer_overlap", "question_words", "answer_words")
+        ],
     ]
 )
 

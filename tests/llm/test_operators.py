@@ -233,10 +233,11 @@ def test_decontamination_equals_containment(spark, documents):
     whole = {(d, i) for d, t in joined.items() for i, w in items.items() if b" " + b" ".join(w) + b" " in t}
     found = {(r["doc_id"], r["item_id"]) for r in rows}
     assert whole and whole <= found
-    for doc, item in found - whole:  # near copies share four fifths of their shingles
+    sides = {(r["doc_id"], r["item_id"]): min(r["question_words"], r["answer_words"]) for r in rows}
+    for doc, item in found - whole:  # near copies share four fifths of their shingles, or of both sides' words
         own = set(decontaminate.shingles(items[item]))
         held = set(decontaminate.shingles(decontaminate.words_of(documents[doc])))
-        assert len(own & held) / len(own) >= decontaminate.OVERLAP
+        assert len(own & held) / len(own) >= decontaminate.OVERLAP or sides[doc, item] >= decontaminate.SIDE
 
 
 def test_decontamination_finds_every_near_copy(index):
@@ -249,14 +250,62 @@ def test_decontamination_finds_every_near_copy(index):
         third = len(words) // 3 + 1
         apart.append(words[:third] + noise + words[third : 2 * third] + noise + words[2 * third :])
     texts += last_edits + apart
-    held = [set(decontaminate.shingles(t)) for t in texts]
-    items = [(i, set(decontaminate.shingles(w))) for (i, _), w in zip(index.items, index.words, strict=True)]
-    expected = [{i for i, own in items if len(own & h) / len(own) >= decontaminate.OVERLAP} for h in held]
+    by_shingles, by_words = convicted(index, texts)
     found = index.matches([b" ".join(t).decode() for t in texts], decontaminate.THRESHOLD)
-    assert [{m[0] for m in f} for f in found] == expected
-    assert all(expected[-16:-8]) and any(expected[-8:]) and any(m[4] < 0.5 for f in found for m in f)
+    assert [{m[0] for m in f} for f in found] == [a | b for a, b in zip(by_shingles, by_words, strict=True)]
+    assert all(by_shingles[-16:-8]) and any(by_shingles[-8:]) and any(m[4] < 0.5 for f in found for m in f)
+    # Pieces that lie passages apart are added by their shingles alone.
+    assert any(a - b for a, b in zip(by_shingles[-8:], by_words[-8:], strict=True))
     item, doc = 0, np.array([index.term_id.get(w, len(index.term_id)) for w in texts[0]])
-    assert abs(index.score(doc, item) - index.candidates([doc], 0.3)[0][item]) < 1e-9
+    assert abs(index.score(doc, item) - index.candidates([doc], 0.3)[0][item][0]) < 1e-9
+
+
+def convicted(index, texts):
+    """Per list of words, the items that five-word shingles convict, and those that passages do, by full scoring."""
+    by_shingles, by_words = [], []
+    for words in texts:
+        held = set(decontaminate.shingles(words))
+        own = [set(decontaminate.shingles(w)) for w in index.words]
+        by_shingles.append({i for (i, _), o in zip(index.items, own, strict=True) if len(o & held) / len(o) >= decontaminate.OVERLAP})
+        found = set()
+        for start in range(0, len(words), decontaminate.STRIDE):
+            passage = set(words[start : start + decontaminate.PASSAGE_WORDS])
+            scores = np.zeros(len(index.item_of))
+            for term in passage & set(index.term_id):
+                span = slice(*index.first[[index.term_id[term], index.term_id[term] + 1]])
+                scores[index.entry[span]] += index.weight[span]
+            for item in {index.item_of[e] for e in np.flatnonzero(scores >= decontaminate.THRESHOLD - 1e-12)}:
+                around, asked = len(index.words[item]), decontaminate.question_words(index.items[item][1])
+                region = set(words[max(0, start - around) : start + decontaminate.PASSAGE_WORDS + around])
+                sides = (index.words[item][:asked], index.words[item][asked:] or index.words[item])
+                rarity = [{w: index.rarity[index.term_id[w]] for w in side} for side in sides]
+                shares = [sum(v for w, v in side.items() if w in region) / sum(side.values()) for side in rarity]
+                if min(shares) >= decontaminate.SIDE and len(index.words[item]) >= decontaminate.SHINGLE:
+                    found.add(index.items[item][0])
+        by_words.append(found)
+    return by_shingles, by_words
+
+
+def test_decontamination_rests_on_wand(index, monkeypatch):
+    """Reworded items share no shingles: only what WAND retrieves, verified on both sides, convicts them."""
+    noise = [b"noise%d" % k for k in range(60)]
+    reworded, one_side, threshold = [], [], decontaminate.THRESHOLD
+    for (_, text), words in list(zip(index.items, index.words, strict=True))[:10]:
+        swapped = [w for k in range(0, len(words), 4) for w in reversed(words[k : k + 4])]
+        reworded.append([*noise, *swapped, *noise])
+        one_side.append([*noise, *words[: decontaminate.question_words(text)], *noise])
+    texts = [b" ".join(t).decode() for t in reworded]
+    by_shingles, by_words = convicted(index, reworded)
+    found = index.matches(texts, threshold)
+    assert not any(by_shingles) and [{m[0] for m in f} for f in found] == by_words
+    assert all(i in {m[0] for m in f} for (i, _), f in zip(index.items, found))
+    # A question without its answer is no item, unless its shingles are most of the whole.
+    alone = index.matches([b" ".join(t).decode() for t in one_side], threshold)
+    shingled, worded = convicted(index, one_side)
+    assert [{m[0] for m in f} for f in alone] == [a | b for a, b in zip(shingled, worded, strict=True)]
+    assert any(not f for f in alone)
+    monkeypatch.setattr(decontaminate.Index, "candidates", lambda self, docs, threshold: [{} for _ in docs])
+    assert not any(index.matches(texts, threshold))
 
 
 def test_decontamination_edge_cases(spark, odd):
