@@ -10,7 +10,8 @@ mandatory trigrams (the hexadecimal one) are matched against every text.
 Texts are indexed and joined by their MD5 digest, so repeated rows and copies share one
 entry and null or repeated doc_ids do no harm. Offsets count code points, ends are
 exclusive. Matches come from splitting at the pattern: pieces and matches alternate, so
-their lengths add up to the offsets.
+the running sums of their lengths are the offsets. Sums run by doubling, and masked texts are joined
+once from pieces cut out of chunks, so a text with very many matches takes hardly more than its share.
 
 Defined results: a null text counts as empty and has no spans; spans of different kinds
 may overlap; ties in start are listed in the order of the rules; an empty table gives no
@@ -32,6 +33,8 @@ from finlake.llm import common
 
 # Literal strings a walk keeps apart at once; more are treated as unknown text.
 MOST_LITERALS = 64
+# Code points of a chunk in which parts of a text are looked up.
+CHUNK = 4_096
 
 
 @dataclass(frozen=True)
@@ -154,6 +157,25 @@ def candidates(spark: SparkSession, index: DataFrame, rules: tuple[Rule, ...]) -
     return met.where("n = size").groupBy("key").agg(F.collect_set("kind").alias("kinds"))
 
 
+def _bound(value: F.Column, use) -> F.Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: F.Column, both) -> F.Column:
+    """``both`` of each element and all before it, for an associative function.
+
+    Doubling: each step joins with the element 1, 2, 4, ... places before, so an array of n
+    elements takes n log n joins; steps that reach beyond an array leave it as it is.
+    """
+
+    def joined(a, k):
+        each = F.transform(a, lambda x, i: F.when(i >= k, both(F.get(a, i - k), x)).otherwise(x))
+        return F.when(F.size(a) <= k, a).otherwise(each)
+
+    return F.aggregate(F.array(*[F.lit(1 << step) for step in range(31)]), values, joined)
+
+
 def matches(rule: Rule, text: F.Column) -> F.Column:
     """All matches as an array of (start, rank, end, kind), in code points."""
     flags = "(?i)" if rule.any_case else ""
@@ -161,29 +183,29 @@ def matches(rule: Rule, text: F.Column) -> F.Column:
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     tested = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
     pieces = F.split(text, pattern, -1)
-    # Running start: the pieces and matches before, then the piece right before the match.
+    # A match ends where it, the piece right before it, and all before those end.
     rows = F.transform(
         F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("piece"), found.alias("found"), tested.alias("tested")),
         lambda x: F.struct(
             F.length(x["piece"]).alias("gap"), F.length(x["found"]).alias("n"), F.length(x["tested"]).alias("tested")
         ),
     )
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,tested:int>>")
     rank = [r.kind for r in RULES].index(rule.kind) if rule in RULES else len(RULES)
 
-    def add(done, x):
-        start = done["at"] + x["gap"]
-        span = F.struct(
-            start.alias("start"),
+    def span(x, end):
+        return F.struct(
+            (end - x["n"]).alias("start"),
             F.lit(rank).alias("rank"),
-            (start + x["n"]).alias("end"),
+            end.alias("end"),
             F.lit(rule.kind).alias("kind"),
             x["tested"].alias("tested"),
         )
-        return F.struct((start + x["n"]).alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
-    spans = F.aggregate(rows, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add)["spans"]
-    return F.filter(spans, lambda s: s["tested"] >= rule.least)
+    def placed(rows):
+        ends = running(F.transform(rows, lambda x: x["gap"] + x["n"]), lambda a, b: a + b)
+        return F.zip_with(rows, ends, span)
+
+    return F.filter(_bound(rows, placed), lambda s: s["tested"] >= rule.least)
 
 
 NO_SPANS = "array<struct<start:int,rank:int,end:int,kind:string,tested:int>>"
@@ -233,19 +255,31 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     """
     columns = docs.columns
     found = with_spans(docs, rules)
-
-    def step(done, s):
-        inside = s["start"] < done["at"]
-        gap = F.substr("text", done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.when(inside, done["out"]).otherwise(F.concat(done["out"], gap, F.lit(mark))).alias("out"),
+    # Taking a part of a long string walks it from its start, so the text is cut first.
+    chunks = F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+
+    def between(chunks, a, b):
+        first, last = F.floor(a / F.lit(CHUNK)).cast("int"), F.floor(b / F.lit(CHUNK)).cast("int")
+        head, tail = F.coalesce(F.get(chunks, first), F.lit("")), F.coalesce(F.get(chunks, last), F.lit(""))
+        inner = F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        return F.when(first == last, F.substr(head, a % CHUNK + 1, b - a)).otherwise(
+            F.concat(F.substr(head, a % CHUNK + 1, F.lit(CHUNK)), inner, F.substr(tail, F.lit(1), b % CHUNK))
         )
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate("__spans", start, step)
+    def masked(chunks, reach):
+        def part(s, i):
+            at = F.when(i > 0, F.get(reach, i - 1)).otherwise(F.lit(0))
+            return _bound(
+                at, lambda at: F.when(s["start"] < at, F.lit("")).otherwise(F.concat(between(chunks, at, s["start"]), F.lit(mark)))
+            )
+
+        rest = between(chunks, F.element_at(reach, -1), F.length("text"))
+        return F.concat(F.array_join(F.transform("__spans", part), ""), rest)
+
+    # How far the spans up to each one reach.
+    reach = running(F.transform("__spans", lambda s: s["end"]), lambda a, b: F.greatest(a, b))
     clean = F.when(F.size("__spans") == 0, F.col("text")).otherwise(
-        F.concat(done["out"], F.substr("text", done["at"] + 1, F.length("text")))
+        _bound(chunks, lambda chunks: _bound(reach, lambda reach: masked(chunks, reach)))
     )
     found = found.withColumn("text", clean)
     if "n_chars" in columns:

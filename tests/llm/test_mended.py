@@ -1,0 +1,82 @@
+"""Cases in which training-data operators once took too long or gave a wrong class."""
+
+import time
+
+from finlake.llm import language, secrets
+
+LONG = "doc_id long, text string, n_chars long"
+
+
+def many(n):
+    lines = [f"{k * 7919:064x}  file-{k} é😀.txt" for k in range(n)]
+    return "\n".join(lines) + " password=abcdef1234567 AKIA" + "A" * 20
+
+
+def test_very_many_secrets_in_one_text(spark):
+    """200,000 matches, and twelve times fewer in no less than a fortieth of the time."""
+    spent = []
+    for n in (16_000, 16_000, 200_000):
+        text = many(n)
+        docs = spark.createDataFrame([(1, text, 0)], LONG)
+        started = time.time()
+        spans = [tuple(s) for s in secrets.scan(docs).first().spans]
+        clean = secrets.redact(docs).first()
+        spent.append(time.time() - started)
+    assert spans == secrets.matched_by_scan(text) and len(spans) > 200_000
+    assert clean.text.count("[SECRET]") == len(spans) and clean.n_chars == len(clean.text)
+    assert clean.text.startswith("[SECRET]  file-0 é😀.txt\n") and not secrets.matched_by_scan(clean.text)
+    assert spent[2] < 40 * max(spent[1], 1)
+
+
+def test_overlapping_and_touching_spans_are_masked_once(spark):
+    long = "x" * 5_000
+    texts = [
+        "token=" + "a" * 40, f"{long}secret: {'0' * 32} {long} AKIA{'B' * 16}", "f" * 8_192, "é😀" * 4_096 + "a" * 64 + "😀",
+        "password=" + "0f" * 20 + "ghp_" + "a" * 40, "", "nothing",
+    ]
+    docs = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], LONG)
+    got = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for k, text in enumerate(texts):
+        out, at = "", 0
+        for start, end, _ in secrets.matched_by_scan(text):
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        assert got[k] == out + text[at:]
+
+
+def test_running_sums_and_maxima(spark):
+    for values in ([], [5], [3, 1, 4, 1, 5, 9, 2, 6], list(range(1000))):
+        frame = spark.createDataFrame([(values,)], "v array<int>")
+        sums, tops = frame.select(
+            secrets.running(frame.v, lambda a, b: a + b), secrets.running(frame.v, lambda a, b: secrets.F.greatest(a, b))
+        ).first()
+        assert sums == [sum(values[: k + 1]) for k in range(len(values))]
+        assert tops == [max(values[: k + 1]) for k in range(len(values))]
+
+
+def fitted_docs(spark):
+    one, two = "the house and the river are old", "das haus und der fluss sind alt"
+    rows = [(k, f"{(one, two)[k % 2]} {k} " * 8, ("en", "de")[k % 2]) for k in range(200)]
+    # A repeated id whose rows differ in text and language.
+    return spark.createDataFrame([*rows, (1, one * 3, "en"), (1, two * 3, "de")], "doc_id long, text string, lang string")
+
+
+def test_texts_without_a_letter_are_undetermined(spark):
+    network = language.fit(fitted_docs(spark))
+    texts = [None, "", "½ ²", "Ⅷ", "①", "12 + 3_4", "́", "ª", "das haus", "the river " * 50_000, "日本"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", language.F.lit("x"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identified(frame, network).collect()}
+    letters = [any(c.isalpha() for c in t or "") for t in texts]
+    assert [got[k][0] != "und" for k in range(len(texts))] == letters
+    assert got[8][0] == "de" and got[9][0] == "en" and all(0 <= s <= 1 for _, s in got.values())
+
+
+def test_training_rows_do_not_depend_on_row_order(spark):
+    docs = fitted_docs(spark)
+    first = language.training_pieces(docs)
+    again = language.training_pieces(docs.orderBy(language.F.desc("lang"), language.F.desc("text")))
+    assert (first[0] == again[0]).all() and first[1] == again[1]
+    ids = {bytes(p[:10]): lang for p, lang in zip(first[0], first[1], strict=True) if lang}
+    assert all((lang == "en") == (b"the" in piece or b"house" in piece or b"river" in piece or b"old" in piece or b"are" in piece)
+               for piece, lang in ids.items() if any(w in piece for w in (b"the", b"das", b"haus", b"fluss")))
