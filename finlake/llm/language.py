@@ -14,7 +14,6 @@ table gives no rows; ties go to the first language by name; other columns are ig
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +27,18 @@ from finlake.llm import common
 SAMPLE = 1_500
 PIECES = 6
 STEPS = 64
-HIDDEN = 4
+HIDDEN = 16
 EPOCHS = 4
 BATCH = 256
 RATE = 0.02
 SEED = 7
 # Pieces that are read at once.
 WIDTH = 2_048
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a text has a letter; numerals such as fractions or circled figures are none."""
+    return any(c.isalpha() for c in text or "")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -204,9 +207,11 @@ def training_pieces(docs: DataFrame, size: int = SAMPLE) -> tuple[np.ndarray, li
     """Pieces (n, STEPS) of training documents and their languages, at most size * PIECES."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     rows = rows.where("lang is not null and length(text) > 0").where(common.training_row(F.col("doc_id")))
-    ids = rows.groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    # One row per document, text and language together, whatever the order of the rows.
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    ids = rows.groupBy("doc_id").agg(F.min(F.struct("hash", "lang")).alias("row")).select("doc_id", "row.*")
     chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
-    sample = rows.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    sample = rows.join(F.broadcast(chosen), ["doc_id", "hash", "lang"]).dropDuplicates(["doc_id"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -241,7 +246,7 @@ def identified(docs: DataFrame, network: Network | None) -> DataFrame:
         for batch in batches:
             langs, scores = ["und"] * len(batch), np.ones(len(batch))
             texts = batch["text"].tolist()
-            at = [k for k, t in enumerate(texts) if t and _LETTER.search(t)]
+            at = [k for k, t in enumerate(texts) if has_letter(t)]
             if network is None:
                 scores[at] = 0.0
                 at = []
