@@ -85,12 +85,17 @@ def _lines(
 ) -> DataFrame:
     """Lines of the files of a date range, with their folder values and file path."""
     prefix = f"{root}/{above}" if above else root
-    months = range(start.year * 12 + start.month - 1, end.year * 12 + end.month)
-    # Day folders are named, not their month: a folder below the root never carries the
-    # file list of a stream's sink, so all ranges see the same files.
-    patterns = [f"{prefix}/year={m // 12:04d}/month={m % 12 + 1:02d}/day=*" for m in months]
-    paths = [pattern for pattern in patterns if files.any_match(spark, pattern)]
-    if not paths:
+    months = {
+        f"year={m // 12:04d}/month={m % 12 + 1:02d}"
+        for m in range(start.year * 12 + start.month - 1, end.year * 12 + end.month)
+    }
+    # One pattern, so one listing: a narrow range names its months, a wide one its years, whose other
+    # months the condition below prunes. Day folders are named, not their month: a folder below the
+    # root never carries the file list of a stream's sink, so all ranges see the same files.
+    years = ",".join(sorted({name[5:9] for name in months}))
+    asked = f"{{{','.join(sorted(months))}}}" if len(months) <= 12 else f"year={{{years}}}/month=*"
+    pattern = f"{prefix}/{asked}/day=*"
+    if not files.any_match(spark, pattern):
         return spark.createDataFrame(
             [], T.StructType([*_schema(parts), T.StructField("_source_file", T.StringType())])
         )
@@ -98,7 +103,7 @@ def _lines(
         spark.read.schema(_schema(parts))
         .option("pathGlobFilter", "*.jsonl")
         .option("basePath", root)
-        .text(paths)
+        .text(pattern)
     )
     landed = F.make_date(*(F.col(name).cast("int") for name in _DAY_PARTS))
     return lines.where(landed.between(F.lit(start), F.lit(end))).select(

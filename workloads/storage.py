@@ -7,10 +7,10 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from finlake.functions import payload as P
-from finlake.operators import audit
-from finlake.operators.merge import merge_into, month_of_key
+from finlake.operators import audit, spine
+from finlake.operators.merge import merge_into, month_of_key, range_of_key
 from finlake.plans import loading as entity_loads, models, refined
-from finlake.plans.tables import Lake
+from finlake.plans.tables import Lake, qualified
 from finlake.session import job_dir
 from finlake.sources import files, landing, raw, versions
 from finlake.streaming import trades as stream
@@ -318,6 +318,138 @@ SELECT event_type AS entity, CASE WHEN user_id % 3 = 0 THEN ' ' || chr(9) ELSE '
 FROM events GROUP BY ALL
 """
 
+def fail_fast_loads(spark, sf_dir):
+    """The same loads, stopped at the first failure: entities before it are in raw, those after are not."""
+    root, work = landed_events(spark, sf_dir), job_dir(spark, "fail-fast")
+    first, last, entities = event_span(spark, sf_dir)
+    run = audit.Run("lake", "events", "raw", date(2024, 5, 31), "daily")
+    order = [*entities[: len(entities) // 2], "missing", *entities[len(entities) // 2 :]]
+    try:
+        entity_loads.load_entities(
+            spark, order, root, f"{work}/raw", first, last, run, RUN_AT, f"{work}/log", fail_fast=True, fail_empty=True
+        )
+        stopped = False
+    except ValueError:
+        stopped = True
+    loaded = raw.read(spark, f"{work}/raw", multiplexed=True).groupBy(raw.ENDPOINT).agg(F.count(F.lit(1)).alias("n"))
+    return loaded.withColumn("stopped", F.lit(stopped))
+
+
+FAIL_FAST_LOADS = """
+WITH types AS (SELECT event_type, row_number() OVER (ORDER BY event_type) AS place, count(*) OVER () AS types
+               FROM (SELECT DISTINCT event_type FROM events))
+SELECT event_type AS endpoint_name, count(*) AS n, true AS stopped
+FROM events JOIN types USING (event_type) WHERE place <= types // 2 GROUP BY event_type
+"""
+
+
+def year_folders(spark, sf_dir):
+    """Records of one landing day kept apart by the year they are about."""
+    root = job_dir(spark, "years")
+    orders = S.read(spark, sf_dir, "orders")
+    records = landing.with_path_parts(
+        orders.select(
+            F.lit("resultados").alias(landing.ENTITY),
+            F.date_format("o_orderdate", "yyyy").alias("ref_year"),
+            F.to_json(F.struct("o_orderkey")).alias("payload"),
+            F.lit(RUN_AT.date()).alias("landed"),
+        ),
+        "landed",
+    )
+    landing.write(records, root, extra_parts=["ref_year"])
+    rows = landing.scan(spark, root, RUN_AT.date(), extra_parts=["ref_year"])
+    order = P.scalar(P.parse("payload"), "$.o_orderkey").cast("bigint")
+    return rows.select(order.alias("o_orderkey"), "ref_year")
+
+
+YEAR_FOLDERS = "SELECT o_orderkey, strftime(o_orderdate, '%Y') AS ref_year FROM orders"
+
+
+def empty_runs(spark, sf_dir):
+    """Event types of which nothing is kept leave no file, and loading them appends nothing."""
+    root, work = job_dir(spark, "sparse"), job_dir(spark, "sparse-raw")
+    records = event_records(spark, sf_dir)
+    kinds = sorted(r[0] for r in records.select(landing.ENTITY).distinct().collect())
+    landing.write(records.where(F.col(landing.ENTITY).isin(kinds[::2])), root)
+    first, last, _ = event_span(spark, sf_dir)
+    there = set(files.children(spark, root))
+    outcome = []
+    for kind in kinds:
+        rows = landing.scan(spark, root, first, last, entities=[kind])
+        count = raw.append(raw.wrap(rows, RUN_AT, landing.ENTITY), f"{work}/{kind}")["total"]
+        outcome.append((kind, f"{landing.ENTITY}={kind}" in there, count, raw.read(spark, f"{work}/{kind}", True).count()))
+    return spark.createDataFrame(outcome, "entity string, has_files boolean, appended bigint, in_raw bigint")
+
+
+EMPTY_RUNS = """
+SELECT event_type AS entity, place % 2 = 1 AS has_files, CASE WHEN place % 2 = 1 THEN n ELSE 0 END AS appended,
+       CASE WHEN place % 2 = 1 THEN n ELSE 0 END AS in_raw
+FROM (SELECT event_type, count(*) AS n, row_number() OVER (ORDER BY event_type) AS place FROM events GROUP BY 1)
+"""
+
+
+def loads_by_frequency(spark, sf_dir):
+    """Entities chosen by how often they are asked for, and the days a run looks back to."""
+    events = S.read(spark, sf_dir, "events")
+    config = events.select(
+        F.col("event_type").alias("entity"), F.when(F.length("event_type") % 2 == 0, "monthly").otherwise("daily").alias("frequency")
+    ).distinct()
+    as_of = date(2024, 1, 20)
+    runs = [("all", raw.lookback_start(as_of, days=2)), ("daily", raw.lookback_start(as_of, "2024-01-12")),
+            ("monthly", raw.lookback_start(as_of, date(2024, 1, 5), days=9))]
+    found = None
+    for wanted, first in runs:
+        chosen = spine.by_frequency(config, wanted).select(F.col("entity").alias("event_type"))
+        rows = events.where(F.to_date("ts").between(F.lit(first), F.lit(as_of))).join(chosen, "event_type")
+        part = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(F.lit(wanted).alias("run"), "*")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+LOADS_BY_FREQUENCY = """
+SELECT run, event_type, count(*) AS n
+FROM events JOIN (VALUES ('all', DATE '2024-01-18'), ('daily', DATE '2024-01-12'), ('monthly', DATE '2024-01-05')) r(run, first)
+    ON run = 'all' OR run = CASE WHEN length(event_type) % 2 = 0 THEN 'monthly' ELSE 'daily' END
+WHERE CAST(ts AS DATE) BETWEEN first AND DATE '2024-01-20' GROUP BY ALL
+"""
+
+
+def described_trades(spark, sf_dir):
+    """The trades through their catalog table, whose partitions follow a second refresh."""
+    rows = S.raw_trades(spark, sf_dir)
+    early = F.col("_load_date") <= F.lit(date(2024, 1, 16))
+    lake = _lake_of_trades(spark, rows.where(early))
+    lake.refresh(models.TRADES, RUN_AT)
+    name = qualified("trusted", models.TRADES.name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    lake.describe_trusted(models.TRADES)
+    raw.append(rows.where(~early), lake.path("raw", models.TRADES.source))
+    lake.refresh(models.TRADES, RUN_AT, start_date=date(2024, 1, 15))
+    return S.flat(spark.table(name).drop("_partition_day"))
+
+
+DESCRIBED_TRADES = f"""
+{S.with_ctes(S.TRADES_SQL)}
+SELECT * EXCLUDE (load_date), '{RUN_AT:%Y-%m-%d %H:%M:%S}.000000' AS _insert_date FROM trades
+"""
+
+
+def merge_single_key(spark, sf_dir):
+    """One key column by name, in a table stored by ranges of it."""
+    path = job_dir(spark, "customers")
+    customers = S.read(spark, sf_dir, "customer").select(
+        "c_custkey", "c_mktsegment", range_of_key("c_custkey", 100).alias("_range")
+    )
+    merge_into(spark, path, customers, "c_custkey", "_range", key_fixes_partition=True, layout="width=100")
+    late = customers.where("c_custkey % 10 = 3").withColumn("c_mktsegment", F.lower("c_mktsegment"))
+    merge_into(spark, path, late, "c_custkey", "_range", key_fixes_partition=True, layout="width=100")
+    return versions.read(spark, path).drop("_range")
+
+
+MERGE_SINGLE_KEY = """
+SELECT c_custkey, CASE WHEN c_custkey % 10 = 3 THEN lower(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment FROM customer
+"""
+
 QUERIES = {
     "merge_after_cuts": (merge_after_cuts, MERGE_AFTER_CUTS),
     "merge_touched": (merge_touched, MERGE_TOUCHED),
@@ -332,4 +464,10 @@ QUERIES = {
     "load_once_replay": (load_once_replay, LOAD_ONCE_REPLAY),
     "entity_loads": (entity_loads_logged, ENTITY_LOADS_LOGGED),
     "lossy_utf8": (lossy_utf8, LOSSY_UTF8),
+    "fail_fast_loads": (fail_fast_loads, FAIL_FAST_LOADS),
+    "year_folders": (year_folders, YEAR_FOLDERS),
+    "empty_runs": (empty_runs, EMPTY_RUNS),
+    "loads_by_frequency": (loads_by_frequency, LOADS_BY_FREQUENCY),
+    "described_trades": (described_trades, DESCRIBED_TRADES),
+    "merge_single_key": (merge_single_key, MERGE_SINGLE_KEY),
 }
