@@ -4,7 +4,8 @@ A logistic model on counts over the whole text gives each document's own evidenc
 and paths get beta posteriors from the summed evidence of their documents: a path is
 shrunk toward its host, a host toward the global mean, each with a prior strength
 estimated by moments from the spread between sites (grouped aggregation only). A
-document's log-odds are its own plus the difference its path makes to the global mean.
+document's log-odds are its own plus the difference that the other documents of its path and
+host make to the global mean: its own evidence is taken out of both sums, so it counts once.
 
 The model is fitted on at most ``SAMPLE`` labelled rows, chosen by a hash of doc_id among
 those whose crc32 is no multiple of five; everything else covers all rows.
@@ -119,7 +120,8 @@ def evidence(model, text: F.Column) -> F.Column:
         odds = ((x - centre) / scale) @ w[:-1] + w[-1]
         return pd.Series(np.clip(1 / (1 + np.exp(-np.clip(odds, -30, 30))), LIMIT, 1 - LIMIT))
 
-    return run(text)
+    # Not to be computed once more for a condition on its result.
+    return run.asNondeterministic()(text)
 
 
 def _strength(groups: DataFrame, mean: F.Column) -> float:
@@ -136,8 +138,9 @@ def _strength(groups: DataFrame, mean: F.Column) -> float:
     return float(np.clip(row["noise"] / row["n"] / spread, *STRENGTHS))
 
 
-def site_posteriors(rows: DataFrame) -> tuple[DataFrame, float]:
-    """From rows (host, path, p): posteriors per path, and the global mean."""
+def site_sums(rows: DataFrame) -> tuple[DataFrame, float, float, float]:
+    """From rows (host, path, p): counts and sums per path (n, s) and its host (host_n, host_s), the
+    global mean, and the prior strengths of hosts and of paths."""
     paths, _ = common.stored(
         rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s")), "quality-paths"
     )
@@ -145,12 +148,29 @@ def site_posteriors(rows: DataFrame) -> tuple[DataFrame, float]:
     total = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     mean = float(total["s"] / total["n"]) if total["n"] else 0.5
     mean = min(max(mean, LIMIT), 1 - LIMIT)
-    k = _strength(hosts, F.lit(mean))
-    hosts = hosts.select("host", ((F.col("s") + k * mean) / (F.col("n") + k)).alias("host_posterior"))
-    both = paths.join(hosts.withColumnRenamed("host", "__h"), F.col("host").eqNullSafe(F.col("__h"))).drop("__h")
-    k = _strength(both, F.col("host_posterior"))
-    posterior = (F.col("s") + k * F.col("host_posterior")) / (F.col("n") + k)
-    return both.select("host", "path", "host_posterior", posterior.alias("path_posterior")), mean
+    of_hosts = _strength(hosts, F.lit(mean))
+    hosts = hosts.select(F.col("host").alias("__h"), F.col("n").alias("host_n"), F.col("s").alias("host_s"))
+    both = paths.join(hosts, F.col("host").eqNullSafe(F.col("__h"))).drop("__h")
+    of_paths = _strength(both, posteriors(mean, of_hosts, 0.0)[0])
+    return both, mean, of_hosts, of_paths
+
+
+def posteriors(
+    mean: float, of_hosts: float, of_paths: float, own: F.Column | None = None, sums: F.Column | None = None
+) -> tuple[F.Column, F.Column]:
+    """Posteriors of a host and of a path from their counts and sums (columns, or fields of ``sums``),
+    without a document's ``own`` evidence if given."""
+    n, s, host_n, host_s = [F.col(c) if sums is None else sums[c] for c in ("n", "s", "host_n", "host_s")]
+    one, p = (F.lit(0), F.lit(0.0)) if own is None else (F.lit(1), own)
+    host = (host_s - p + of_hosts * mean) / (host_n - one + of_hosts)
+    return host, (s - p + of_paths * host) / (n - one + of_paths)
+
+
+def site_posteriors(rows: DataFrame) -> tuple[DataFrame, float]:
+    """From rows (host, path, p): posteriors per path, and the global mean."""
+    sums, mean, of_hosts, of_paths = site_sums(rows)
+    host, path = posteriors(mean, of_hosts, of_paths)
+    return sums.select("host", "path", host.alias("host_posterior"), path.alias("path_posterior")), mean
 
 
 def scored(docs: DataFrame, labels: DataFrame, host: F.Column | None = None, path: F.Column | None = None, size: int = SAMPLE) -> DataFrame:
@@ -162,13 +182,21 @@ def scored(docs: DataFrame, labels: DataFrame, host: F.Column | None = None, pat
     path = F.concat_ws("/", F.col("source"), F.col("lang")) if path is None else path
     model = fit(docs, labels, size)
     own = docs.withColumn("__p", evidence(model, F.col("text"))).withColumn("__host", host).withColumn("__path", path)
-    sites, mean = site_posteriors(own.select(F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__p").alias("p")))
-    sites, _ = common.stored(sites.select(*[F.col(c).alias(f"__{c}") for c in sites.columns]), "quality-sites")
-    same = own["__host"].eqNullSafe(sites["__host"]) & own["__path"].eqNullSafe(sites["__path"])
-    joined = own.join(sites, same).drop(sites["__host"]).drop(sites["__path"])
+    names = {"__host": "host", "__path": "path", "__p": "p"}
+    sums, mean, of_hosts, of_paths = site_sums(own.select(*[F.col(a).alias(b) for a, b in names.items()]))
+    sites, _ = common.stored(sums.withColumnsRenamed({c: f"__site_{c}" for c in sums.columns}), "quality-sites")
+    same = own["__host"].eqNullSafe(sites["__site_host"]) & own["__path"].eqNullSafe(sites["__site_path"])
+    joined = own.join(sites, same)
+    sums = F.struct(*[F.col(f"__site_{c}").alias(c) for c in ("n", "s", "host_n", "host_s")])
+    host, path = posteriors(mean, of_hosts, of_paths, F.col("__p"), sums)
+    # A sum of others may fall below zero by rounding.
+    within = lambda p: F.greatest(F.least(p, F.lit(1 - LIMIT)), F.lit(LIMIT))
+    joined = joined.withColumns({"__host_posterior": within(host), "__path_posterior": within(path)})
     odds = lambda p: F.log(p / (1 - p))
     total = odds(F.col("__p")) + odds(F.col("__path_posterior")) - float(np.log(mean / (1 - mean)))
-    return joined.withColumn("__score", 1 / (1 + F.exp(-total))).drop("__host", "__path")
+    return joined.withColumn("__score", 1 / (1 + F.exp(-total))).drop(
+        "__host", "__path", *[f"__site_{c}" for c in ("host", "path", "n", "s", "host_n", "host_s")]
+    )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
