@@ -35,30 +35,53 @@ from pyspark.sql import types as T
 from finlake.llm import common, quality
 
 SAMPLE = 6_000
-# Learned words: in at least this many toxic rows, this much likelier there, at most so many.
+# Learned words: in at least this many toxic rows, this much likelier there. The sample bounds them.
 LEAST_ROWS = 4
 LEAST_ODDS = 3.0
-LEXICON = 3_000
 PREFIXES = range(4, 9)
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "insult", "threat", "target", "negation", "report", "other"
 # Insults and threats that a target follows, and how many symbols a target may be away.
 AIMED = {INSULT: "aimed insult", THREAT: "aimed threat"}
+PHRASE_END = "phrase end"
 REACH = {INSULT: 4, THREAT: 6}
 MATCHES = (*AIMED, *AIMED.values())
 
-# Small closed word lists of English, German, French and Spanish.
-THREATS = "kill hurt destroy beat burn töten verletzen schlagen tuer frapper brûler matar golpear quemar"
-TARGETS = "you your he she they him her them du dich ihr euch tu toi vous lui tú usted él ella ustedes"
-NEGATIONS = "not never no nobody isn't aren't don't nicht kein keine nie ne pas jamais non nunca jamás tampoco"
+# Small closed word lists of English, German, French and Spanish. Verbs of threat are stems with the
+# endings of their language, and forms that have others.
+THREATS = (
+    ("kill hurt destroy beat burn murder shoot hang", " s ed ing"),
+    ("strangl stabb", "e es ed ing"),
+    ("stab stabs shot beaten burnt hung", ""),
+    ("töt verletz schlag erschieß", "e st t en et te"),
+    ("schlägt schlägst umbringen umbringt bringe", ""),
+    ("tu frapp brûl", "er ez ent erai"),
+    ("frapp brûl", "e es é"),
+    ("mat golpe quem", "ar o as a an é aré aría ando"),
+)
+TARGETS = (
+    "you your yourself yourselves he him his himself she her herself they them their themselves "
+    "man men woman women guy girl boy child children kids people family everyone everybody "
+    "du dich dir euch ihr ihn frau leute tu te toi vous lui eux homme femme enfant gens "
+    "tú ti usted ustedes él ella ellos hombre mujer niño gente"
+)
+NEGATIONS = "not never no nobody isn't aren't don't won't nicht kein keine nie ne pas jamais non nunca jamás tampoco"
 REPORTS = "said says wrote called quoted sagte schrieb nannte dit écrit appelé dijo escribió llamó"
+# Phrases that threaten as a whole, told by their last word; they need no further target.
+PHRASES = {"die": "go should must will gonna", "dead": "you're youre be", "sterben": "sollst musst wirst"}
 SYMBOLS = {
-    w: s
-    for words, s in ((THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT))
-    for w in words.split()
+    **{stem + end: THREAT for stems, ends in THREATS for stem in stems.split() for end in ends.split(" ")},
+    **{
+        w: s
+        for words, s in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT))
+        for w in words.split()
+    },
 }
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n|]")
+# Whether a text may hold a phrase: its two words with no letter or end of a clause between them.
+_PHRASE_ENDS = frozenset(w.encode() for w in PHRASES)
+_PHRASE = re.compile("|".join(rf"(?:{'|'.join(first.split())})[\W\d_]+{last}" for last, first in PHRASES.items()))
 _ASCII_LETTERS = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 _CLAUSE_END = frozenset(".!?;:\n|")
 
@@ -106,7 +129,7 @@ def aimed(symbols: list[tuple[str, float]]) -> list[tuple[str, float]]:
     """The symbols of a clause, read from its end, with those marked that a target follows in reach."""
     marked, away = [], max(REACH.values()) + 1
     for symbol, weight in reversed(symbols):
-        marked.append((AIMED[symbol] if away <= REACH.get(symbol, 0) else symbol, weight))
+        marked.append((AIMED[symbol] if symbol in AIMED and away <= REACH[symbol] else symbol, weight))
         away = 1 if symbol == TARGET else away + 1
     return marked[::-1]
 
@@ -154,11 +177,22 @@ class Scorer:
     def symbol(self, word: str) -> tuple[str, float]:
         if word in SYMBOLS:
             return SYMBOLS[word], 1.0
+        if word in PHRASES:
+            return PHRASE_END, 0.0
         if word in self.words:
             return INSULT, self.words[word]
         best = max((self.prefixes.get(word[:n], 0.0) for n in PREFIXES if n <= len(word)), default=0.0)
         return (INSULT, best) if best else (OTHER, 0.0)
 
+    def phrased(self, words: list[str], known: dict[str, tuple[str, float]]) -> list[tuple[str, float]]:
+        """Symbols of a clause's words; the last word of a threatening phrase is an aimed threat."""
+        symbols = [known[w] for w in words]
+        for k, (symbol, _) in enumerate(symbols):
+            if symbol == PHRASE_END:
+                whole = k and words[k - 1] in PHRASES[words[k]].split()
+                symbols[k] = (AIMED[THREAT], 1.0) if whole else (OTHER, 0.0)
+        return symbols
+
     def _matches(self, word: bytes) -> bool:
         """Whether a stretch of letters (and any non-ASCII characters) holds an insult or threat."""
         tokens = _TOKEN.findall(word.decode("utf-8", "replace"))
@@ -172,7 +206,8 @@ class Scorer:
         matching = self.matching
         for word in [w for w in words if w not in matching]:
             matching[word] = self._matches(word)
-        return any(map(matching.__getitem__, words))
+        phrases = not words.isdisjoint(_PHRASE_ENDS) and _PHRASE.search(lower) is not None
+        return phrases or any(map(matching.__getitem__, words))
 
     def clauses(self, text: str | None) -> list[float]:
         """Scores of the clauses that hold an insult or a threat."""
@@ -183,8 +218,8 @@ class Scorer:
         known = {w: self.symbol(w) for w in set(tokens)}
         for end, group in itertools.groupby(tokens, _CLAUSE_END.__contains__):
             if not end:
-                symbols = [known[w] for w in group]
-                if any(s in (INSULT, THREAT) for s, _ in symbols):
+                symbols = self.phrased(list(group), known)
+                if any(s in (INSULT, THREAT, AIMED[THREAT]) for s, _ in symbols):
                     found.append(self.machine.clause(symbols))
         return found
 
@@ -219,7 +254,7 @@ def learned_words(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
         return None
     odds = F.log((F.col("toxic") + 0.1) / rows[1]) - F.log((F.col("clean") + 0.1) / rows[0])
     best = counts.where(F.col("toxic") >= LEAST_ROWS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
-    best = best.orderBy(F.desc("toxic"), "term").limit(LEXICON).collect()
+    best = best.collect()  # each in LEAST_ROWS of at most SAMPLE texts
     words = {r["term"]: min(r["odds"], 8.0) for r in best if not r["term"].endswith("*")}
     prefixes = {r["term"][:-1]: min(r["odds"], 8.0) for r in best if r["term"].endswith("*")}
     return words, prefixes

@@ -1,9 +1,14 @@
 """Cases in which training-data operators once took too long or gave a wrong class."""
 
+import re
 import time
+from collections import defaultdict
 
-from finlake.llm import language, secrets
+import numpy as np
 
+from finlake.llm import language, quality, secrets, toxicity
+
+SF = "/root/testdata/sf0.001"
 LONG = "doc_id long, text string, n_chars long"
 
 
@@ -80,3 +85,91 @@ def test_training_rows_do_not_depend_on_row_order(spark):
     ids = {bytes(p[:10]): lang for p, lang in zip(first[0], first[1], strict=True) if lang}
     assert all((lang == "en") == (b"the" in piece or b"house" in piece or b"river" in piece or b"old" in piece or b"are" in piece)
                for piece, lang in ids.items() if any(w in piece for w in (b"the", b"das", b"haus", b"fluss")))
+
+
+THREATENING = [
+    "kill yourself", "I will murder you", "I will shoot you", "killing you", "He kills you", "go die", "we will kill that man",
+    "er tötet dich", "te mataré", "je vais te frapper",
+]
+HARMLESS = [
+    "kill time", "die Mutter und ihr Kind", "good morning to you, mate", "he went home and died", "the will. die Katze",
+    "the battery is dead", "I beat the eggs", "tu es là et vous aussi", "él toma mate con ella",
+]
+
+
+def test_threats_inflected_reflexive_and_in_phrases():
+    score = toxicity.Scorer({}, {})
+    assert all(max(score.clauses(text), default=0) > 0 for text in THREATENING)
+    assert not any(max(score.clauses(text), default=0) > 0 for text in HARMLESS)
+    assert score.clauses("I will not kill you")[0] < score.clauses("I will kill you")[0]
+    assert score.clauses("they said you should die")[0] < score.clauses("you should die")[0]
+
+
+def test_toxicity_equals_plain_grammar(spark):
+    """Scores of the fitted model against a plain reading of the grammar, symbol by symbol."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    odd = [(-1, None), (-2, ""), (-3, "kill you. " * 20_000), (-4, "go die"), (-4, "go die"), (-5, "½ ² 12")]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    model = toxicity.fit(docs, labels)
+    scorer, (centre, scale, w) = model
+
+    def plain(text):
+        totals = []
+        for clause in re.split(r"[.!?;:\n|]", (text or "").lower()):
+            words = re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)*", clause)
+            kinds = [scorer.symbol(x)[0] for x in words]
+            total = 0.0
+            for k, (word, kind) in enumerate(zip(words, kinds, strict=True)):
+                phrase = word in toxicity.PHRASES and k and words[k - 1] in toxicity.PHRASES[word].split()
+                if kind not in ("insult", "threat") and not phrase:
+                    continue
+                reach = 4 if kind == "insult" else 6
+                near = phrase or "target" in kinds[max(0, k - reach) : k] + kinds[k + 1 : k + 1 + reach]
+                factor = 1.5 if near else (1.0 if kind == "insult" else 0.0)
+                factor *= 0.4 if "negation" in kinds[max(0, k - 3) : k] else 1.0
+                factor *= 0.5 if "report" in kinds[:k] else 1.0
+                total += (1.0 if phrase else scorer.symbol(word)[1]) * factor
+            totals.append(total)
+        totals = [t for t in totals if t > 0]
+        size = len(text or "") / 100
+        x = [np.log1p(sum(totals)), np.log1p(max(totals, default=0)), float(bool(totals)), np.log1p(sum(totals) / (1 + size))]
+        return 1 / (1 + np.exp(-np.clip(((np.array(x) - centre) / scale) @ w[:-1] + w[-1], -30, 30)))
+
+    rows = docs.select("doc_id", "text", toxicity.toxicity(model, toxicity.F.col("text")).alias("p")).collect()
+    assert len(rows) > 200 and all(abs(r.p - plain(r.text)) < 1e-9 for r in rows)
+    assert toxicity.toxicity(model, docs.limit(0).text) is not None and docs.limit(0).select(toxicity.toxicity(model, docs.text)).count() == 0
+
+
+def test_quality_counts_own_evidence_once(spark):
+    """Scores against plain sums over all other documents of the path and host."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    alone = spark.createDataFrame(
+        [(10**9, "a lonely page with a few words", "xx", "only", 30), (10**9, None, None, None, 0), (None, "", "en", "only", 0)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    rows = quality.scored(docs.unionByName(alone), labels).collect()
+    sums = quality.site_sums(
+        spark.createDataFrame([(r.source or "", "/".join(x for x in (r.source, r.lang) if x is not None), r["__p"]) for r in rows],
+                              "host string, path string, p double"))
+    _, mean, of_hosts, of_paths = sums
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for r in rows:
+        key = r.source or "", "/".join(x for x in (r.source, r.lang) if x is not None)
+        hosts[key[0]].append(r["__p"])
+        paths[key].append(r["__p"])
+    odds = lambda p: np.log(p / (1 - p))
+    for r in rows:
+        key, p = (r.source or "", "/".join(x for x in (r.source, r.lang) if x is not None)), r["__p"]
+        host = (sum(hosts[key[0]]) - p + of_hosts * mean) / (len(hosts[key[0]]) - 1 + of_hosts)
+        path = (sum(paths[key]) - p + of_paths * host) / (len(paths[key]) - 1 + of_paths)
+        total = odds(p) + odds(np.clip(path, quality.LIMIT, 1 - quality.LIMIT)) - odds(mean)
+        assert abs(r["__score"] - 1 / (1 + np.exp(-total))) < 1e-9
+    # With nothing else known of its path and host, a document's own evidence decides alone.
+    lone = next(r for r in rows if r.source is None)
+    assert abs(lone["__score"] - lone["__p"]) < 1e-9
+
+
+def test_quality_reads_each_text_once_for_its_scores(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    plan = quality.keep_good(docs, labels)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
