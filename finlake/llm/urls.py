@@ -82,12 +82,14 @@ def ruled(urls: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def _grams(urls: DataFrame, order: int) -> DataFrame:
-    """A row per position of each URL: its character with the ``order - 1`` before it."""
-    padded = urls.withColumn("padded", F.concat(F.lit(PAD * (order - 1)), F.col("url"), F.lit(PAD)))
-    chars = F.transform(
-        F.sequence(F.lit(1), F.length("url") + 1), lambda k: F.substr(F.col("padded"), k, F.lit(order))
-    )
-    return padded.select(*urls.columns, F.explode(chars).alias("gram"))
+    """A row per position of each URL: its character with the ``order - 1`` before it; without the URL."""
+    padded = F.concat(F.lit(PAD * (order - 1)), F.col("url"), F.lit(PAD))
+    # All windows in one walk. The pattern steps by UTF-16 units, so URLs with longer characters
+    # are cut position by position.
+    windows = F.regexp_extract_all(padded, F.lit("(?s)(?=(.{%d}))" % order), F.lit(1))
+    cut = F.transform(F.sequence(F.lit(1), F.length("url") + 1), lambda k: F.substr(padded, k, F.lit(order)))
+    chars = F.when(F.col("url").rlike("[\\x{10000}-\\x{10FFFF}]"), cut).otherwise(windows)
+    return urls.select(*[c for c in urls.columns if c != "url"], F.explode(chars).alias("gram"))
 
 
 def models(grams: DataFrame, order: int) -> DataFrame:
@@ -154,9 +156,11 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, order: int = ORDER)
     text = F.coalesce("url", F.lit(""))
     distinct = ruled(pages.select(text.alias("url")), rules).groupBy("url", "rule_verdict").agg(F.count("*").alias("n"))
     distinct = distinct.withColumn("checked", F.crc32(F.col("url").cast("binary")) % 5 == 0)
+    # Grams carry this digest of their URL, so bytes grow with the length of a URL, not with its square.
+    distinct = distinct.withColumn("key", F.unhex(F.md5(F.col("url").cast("binary"))))
     distinct, _ = common.stored(distinct, "urls")
     learned = (F.col("rule_verdict").isNotNull()) & ~F.col("checked")
-    counts = _grams(distinct, order).groupBy("gram").agg(
+    counts = _grams(distinct.select("url", "rule_verdict", "checked"), order).groupBy("gram").agg(
         F.sum(F.when(learned & (F.col("rule_verdict") == "allow"), 1).otherwise(0)).alias("accepted"),
         F.sum(F.when(learned & (F.col("rule_verdict") == "block"), 1).otherwise(0)).alias("rejected"),
     )
@@ -167,10 +171,11 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, order: int = ORDER)
         return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.lit(0.0).alias("score"))
     table, _ = common.stored(models(counts, order), "url-models")
     scored = (
-        _grams(distinct.select("url", "rule_verdict", "checked", "n"), order)
+        _grams(distinct.select("url", "key"), order)
         .join(table, "gram")
-        .groupBy("url", "rule_verdict", "checked", "n")
+        .groupBy("key")
         .agg((F.sum("difference") / F.count("*")).alias("score"))
+        .join(distinct.select("key", "rule_verdict", "checked", "n"), "key")
     )
     scored, _ = common.stored(scored, "url-scores")
     threshold = calibrated(
@@ -178,9 +183,8 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, order: int = ORDER)
             "score", (F.col("rule_verdict") == "allow").alias("accepted"), "n"
         )
     )
-    judged = rows.join(
-        scored.select(F.col("url").alias("__url"), "score"), F.coalesce("url", F.lit("")) == F.col("__url")
-    )
+    own = F.unhex(F.md5(F.coalesce("url", F.lit("")).cast("binary")))
+    judged = rows.withColumn("key", own).join(scored.select("key", "score"), "key")
     verdict = F.coalesce("rule_verdict", F.when(F.col("score") >= threshold, "allow").otherwise("block"))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
 

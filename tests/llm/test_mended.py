@@ -5,8 +5,9 @@ import time
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from finlake.llm import language, quality, secrets, toxicity
+from finlake.llm import language, quality, secrets, toxicity, urls
 
 SF = "/root/testdata/sf0.001"
 LONG = "doc_id long, text string, n_chars long"
@@ -173,3 +174,22 @@ def test_quality_reads_each_text_once_for_its_scores(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     plan = quality.keep_good(docs, labels)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_long_and_astral_urls(spark):
+    """Windows by one walk equal those cut position by position; a data address of a million characters is no trouble."""
+    long = "data://x.net/" + "QUJD" * 250_000
+    texts = ["http://a.org/b", "", "http://é😀.net/😀😀x", "a\nb", "x", long[:3_000]]
+    frame = spark.createDataFrame([(t,) for t in texts], "url string").withColumn("own", F.col("url"))
+    found = defaultdict(list)
+    for r in urls._grams(frame, 5).collect():
+        found[r.own].append(r.gram)
+    for text in texts:
+        padded = urls.PAD * 4 + text + urls.PAD
+        assert found[text] == [padded[k : k + 5] for k in range(len(text) + 1)]
+    pages = [(k, f"http://{'ab'[k % 2]}{k}.{'org/x' if k % 2 else 'com/de/x'}") for k in range(60)]
+    rows = spark.createDataFrame([*pages, (100, long), (101, None), (101, "http://q😀.net")], "page_id long, url string")
+    started = time.time()
+    got = urls.judge(rows.withColumn("key", F.lit(1))).collect()
+    assert len(got) == 63 and {r.verdict for r in got} == {"allow", "block"} and time.time() - started < 120
+    assert [r.verdict for r in sorted(got, key=lambda r: r.page_id)[:60]] == ["block", "allow"] * 30
