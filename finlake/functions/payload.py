@@ -26,6 +26,17 @@ def text_at(doc: Column | str, path: str) -> Column:
     return F.try_variant_get(doc, path, "string")
 
 
+def texts(doc: Column | str, members: list[str]) -> Column:
+    """Struct of the texts of members of an object, ``c0``, ``c1`` and so on in their order, by one lookup.
+
+    Fields go by place: members such as ``t`` and ``T`` have names that differ by case only.
+    """
+    doc = F.col(doc) if isinstance(doc, str) else doc
+    kind = ",".join(f"`{name}`:string" for name in members)
+    places = ",".join(f"c{k}:string" for k in range(len(members)))
+    return F.try_variant_get(doc, "$", f"struct<{kind}>").cast(f"struct<{places}>")
+
+
 def unless_nested(text: Column, doc: Column | str, path: str) -> Column:
     """Null in place of the text of an object or array.
 

@@ -110,13 +110,13 @@ def select_window(
 
 
 def _documents(rows: DataFrame, spec: TrustedSpec, seen: Observation | None) -> DataFrame:
-    """Rows with their parsed payload, counted on the way into ``seen``.
+    """Rows with their parsed payload and its members' texts, counted on the way into ``seen``.
 
     The observed counts also keep Catalyst from moving path conditions below the
     parse, which would parse every payload twice.
     """
     parsed = rows.withColumn("__doc", P.parse("payload"))
-    return parsed.observe(
+    return parsed.withColumn("__texts", P.texts("__doc", _members(spec))).observe(
         seen or f"{spec.name}-{uuid.uuid4().hex[:8]}",
         F.count(F.lit(1)).alias("payloads"),
         F.count_if(F.col("__doc").isNull()).alias("malformed"),
@@ -138,8 +138,9 @@ def type_payloads(
     """
     first = {*spec.key, spec.event_order}
     errors = []
+    place = {name: f"__texts.c{k}" for k, name in enumerate(_members(spec))}
     texts = _documents(rows, spec, seen).select(
-        "*", *(P.text_at("__doc", f.path).alias(_text_name(f)) for f in spec.fields)
+        "*", *(F.col(place[f.member]).alias(_text_name(f)) for f in spec.fields)
     )
     for field in spec.fields:
         if field.name in spec.required:
@@ -160,6 +161,10 @@ def type_payloads(
     )
 
 
+def _members(spec: TrustedSpec) -> list[str]:
+    return list(dict.fromkeys(f.member for f in spec.fields))
+
+
 def _text_name(field: Field) -> str:
     return f"__text_{field.name}"
 
