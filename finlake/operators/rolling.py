@@ -58,8 +58,10 @@ def cut_days(
     days = large.select(*keys, F.lit(True).alias("__large"))
     of_large = null_safe_left_join(narrow, days, keys, *keys, number, "__large").where("__large")
     fractions = F.array(*[F.lit(k / PARTS) for k in range(1, PARTS)])
-    quantiles = F.percentile_approx(number, fractions, ACCURACY)
-    bounds = of_large.groupBy(*keys).agg(F.array_sort(F.array_distinct(quantiles)).alias("__bounds"))
+    quantiles = F.percentile_approx(F.col(number).cast("bigint"), fractions, ACCURACY)
+    # A day without any number is one part.
+    cuts = F.coalesce(F.array_sort(F.array_distinct(quantiles)), F.array().cast("array<bigint>"))
+    bounds = of_large.groupBy(*keys).agg(cuts.alias("__bounds"))
     bounds = files.hold(bounds, "rolling-bounds", work)
     parts = null_safe_left_join(narrow, bounds, keys, *keys, number, "__bounds").where("__bounds is not null")
     counts = parts.groupBy(*keys, part_of(number).alias("__part")).agg(F.count(F.lit(1)).alias("__n"))

@@ -190,6 +190,9 @@ def test_repeated_and_missing_numbers_stay_in_one_part(spark):
     cut = rolling.with_buckets(frame, ["g"], "d", "id", 50)
     assert cut.groupBy("id").agg(F.count_distinct(rolling.BUCKET).alias("n")).where("n > 1").isEmpty()
     assert cut.count() == 500 and cut.where(F.col(rolling.BUCKET).isNull()).isEmpty()
+    unnumbered = frame.select(F.lit(None).cast("int").alias("id"), "g", "d", F.lit(2.0).alias("v"))
+    cut = rolling.with_buckets(unnumbered, ["g"], "d", "id", 50)
+    assert rolling.rolling_means(cut, ["g"], "d", "id", {"m": "v"}).where("m = 2").count() == 500
 
 
 def test_month_totals_equal_grouped_sums(spark):
