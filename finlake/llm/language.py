@@ -27,7 +27,7 @@ from finlake.llm import common
 SAMPLE = 1_500
 PIECES = 6
 STEPS = 64
-HIDDEN = 16
+HIDDEN = 8
 EPOCHS = 4
 BATCH = 256
 RATE = 0.02
