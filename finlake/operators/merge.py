@@ -17,6 +17,8 @@ from finlake.session import job_dir
 from finlake.sources import files, versions
 
 BUCKET = "_bucket"
+# Ranges of keys kept as single partitions, as a power of two; a larger number has half as many per doubling.
+_SINGLE_BITS = 7
 
 
 def key_list(keys: str | Sequence[str]) -> list[str]:
@@ -104,8 +106,30 @@ def month_of_key(day: str) -> Column:
 
 
 def range_of_key(number: str, width: int) -> Column:
-    """Which range of ``width`` numbers an integer key falls into; new numbers share the last ones."""
-    return F.floor(F.col(number) / F.lit(width)).cast("bigint")
+    """First of the ranges of ``width`` numbers an integer key is stored with; new numbers share the last ones.
+
+    The first 128 ranges are partitions of their own. From there on each doubling of the number is cut
+    into 64, so a table has some hundred partitions however far its numbers go, and the newest records
+    share one that spans at most a 64th of them. A number's partition never changes.
+    """
+    place = F.floor(F.col(number) / F.lit(width)).cast("bigint")
+    size = F.when(place < 0, F.bitwise_not(place)).otherwise(place)
+    spare = F.greatest(F.length(F.bin(size)) - _SINGLE_BITS, F.lit(0))
+    first = F.call_function("shiftleft", F.call_function("shiftright", size, spare), spare)
+    return F.when(place < 0, F.bitwise_not(first)).otherwise(first)
+
+
+def first_range(place: int) -> int:
+    """:func:`range_of_key` of a range number."""
+    size = ~place if place < 0 else place
+    spare = max(size.bit_length() - _SINGLE_BITS, 0)
+    first = size >> spare << spare
+    return ~first if place < 0 else first
+
+
+def range_layout(width: int) -> str:
+    """Layout of a table stored by :func:`range_of_key`."""
+    return f"width={width}, 64 a doubling"
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from finlake.operators import quality
-from finlake.operators.merge import BUCKET, Merged, bucket_of, merge_into, month_of_key, range_of_key
+from finlake.operators.merge import (
+    BUCKET, Merged, bucket_of, first_range, merge_into, month_of_key, range_layout, range_of_key,
+)
 from finlake.plans import models, refined
 from finlake.plans.spec import INSERT_DATE, TrustedSpec, build, misfits, select_window, stamp, survivors
 from finlake.session import job_dir
@@ -75,7 +77,7 @@ class Lake:
     def layout(self, spec: TrustedSpec) -> str:
         if spec.partition_day or spec.key_month:
             return ""
-        return f"width={RANGE_WIDTH}" if spec.key_range else f"buckets={self.buckets}"
+        return range_layout(RANGE_WIDTH) if spec.key_range else f"buckets={self.buckets}"
 
     def trusted(
         self, spec: TrustedSpec, first: date | datetime | int | None = None, last: date | datetime | int | None = None
@@ -98,7 +100,7 @@ class Lake:
             found = found.where(within(F.col(column), F.lit(bound)))
             # The partition of the bound itself, as its rows are placed.
             if spec.key_range:
-                place, limit = PARTITION_RANGE, F.lit(bound // RANGE_WIDTH)
+                place, limit = PARTITION_RANGE, F.lit(first_range(bound // RANGE_WIDTH))
             else:
                 day = bound.date() if isinstance(bound, datetime) else bound
                 place = PARTITION_DAY if spec.partition_day else PARTITION_MONTH

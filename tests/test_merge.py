@@ -438,3 +438,15 @@ def test_order_of_batches_does_not_matter_for_disjoint_keys(spark):
     ab = merge.upsert(merge.upsert(base, one, KEYS), two, KEYS)
     ba = merge.upsert(merge.upsert(base, two, KEYS), one, KEYS)
     assert symmetric_difference(ab, ba).where(F.lit(True)).count() == 0
+
+
+def test_ranges_of_many_keys_are_few_and_in_order(spark):
+    numbers = [*range(-600, 600), *(s * 2**k + d for k in range(10, 60) for s in (-1, 1) for d in (-1, 0, 1))]
+    rows = frame(spark, [(n,) for n in numbers], "n bigint").select("n", merge.range_of_key("n", 1).alias("r"))
+    exact = [r for r in rows.collect() if abs(r.n) < 2**53]  # a range comes from a division of doubles
+    assert all(r.r == merge.first_range(r.n) for r in exact)
+    places = [r.r for r in sorted(exact, key=lambda r: r.n)]
+    assert places == sorted(places)
+    assert merge.first_range(127) == 127 and merge.first_range(-128) == -128
+    assert spark.range(5_400_000).select(merge.range_of_key("id", 100)).distinct().count() < 800
+    assert frame(spark, [(None,)], "n bigint").select(merge.range_of_key("n", 1).alias("r")).first().r is None

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from finlake.functions import payload as P
 from finlake.operators import audit, spine
-from finlake.operators.merge import merge_into, month_of_key, range_of_key
+from finlake.operators.merge import merge_into, month_of_key, range_layout, range_of_key
 from finlake.plans import loading as entity_loads, models, refined
 from finlake.plans.tables import Lake, qualified
 from finlake.session import job_dir
@@ -440,9 +440,9 @@ def merge_single_key(spark, sf_dir):
     customers = S.read(spark, sf_dir, "customer").select(
         "c_custkey", "c_mktsegment", range_of_key("c_custkey", 100).alias("_range")
     )
-    merge_into(spark, path, customers, "c_custkey", "_range", key_fixes_partition=True, layout="width=100")
+    merge_into(spark, path, customers, "c_custkey", "_range", key_fixes_partition=True, layout=range_layout(100))
     late = customers.where("c_custkey % 10 = 3").withColumn("c_mktsegment", F.lower("c_mktsegment"))
-    merge_into(spark, path, late, "c_custkey", "_range", key_fixes_partition=True, layout="width=100")
+    merge_into(spark, path, late, "c_custkey", "_range", key_fixes_partition=True, layout=range_layout(100))
     return versions.read(spark, path).drop("_range")
 
 
