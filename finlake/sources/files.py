@@ -3,15 +3,28 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
 from finlake.session import job_dir
 
 
+# Moves that wait for the store at the same time.
+MOVERS = 16
+
+
+@lru_cache(maxsize=1)
+def _path_class(jvm):
+    """Looked up once: each package of the name is a call to the JVM."""
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path = _path_class(spark.sparkContext._jvm)(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
@@ -70,28 +83,47 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def walk(spark: SparkSession, path: str) -> list[str]:
-    """Files anywhere below a folder, relative to it; none when the folder is absent."""
+    """Files anywhere below a folder, relative to it; none when the folder is absent.
+
+    As Spark lists them: folders by the cluster, hidden files (``_SUCCESS``) left out.
+    """
     fs, hadoop_path = _fs(spark, path)
     if not fs.exists(hadoop_path):
         return []
     root = fs.getFileStatus(hadoop_path).getPath().toUri().getPath()
-    found, each = [], fs.listFiles(hadoop_path, True)
-    while each.hasNext():
-        found.append(each.next().getPath().toUri().getPath()[len(root) :].lstrip("/"))
-    return sorted(found)
+    lines = spark.read.schema("value string").option("recursiveFileLookup", "true").text(path)
+    return sorted(unquote(urlsplit(name).path)[len(root) :].lstrip("/") for name in lines.inputFiles())
+
 
+def move(spark: SparkSession, source: str, target: str, fs=None) -> None:
+    """Move one file; a target that a cut move left behind is replaced.
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Move one file; a target that a cut move left behind is replaced."""
-    fs, from_path = _fs(spark, source)
-    to_path = _fs(spark, target)[1]
-    fs.mkdirs(to_path.getParent())
+    With ``fs``, the file system of both, the target's folder is there already.
+    """
+    place = _path_class(spark.sparkContext._jvm)
+    from_path, to_path = place(source), place(target)
+    if fs is None:
+        fs = _fs(spark, source)[0]
+        fs.mkdirs(to_path.getParent())
     if fs.exists(to_path):
         fs.delete(to_path, False)
     if not fs.rename(from_path, to_path):
         raise OSError(f"cannot move {source} to {target}")
 
 
+def move_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
+    """Move files of one file system, several at a time; when one fails, those not begun are left where they are."""
+    moves = list(moves)
+    if not moves:
+        return
+    fs, place = _fs(spark, moves[0][0])[0], _path_class(spark.sparkContext._jvm)
+    for folder in sorted({target.rpartition("/")[0] for _, target in moves}):
+        fs.mkdirs(place(folder))
+    with ThreadPoolExecutor(MOVERS) as pool:
+        for _ in pool.map(lambda pair: move(spark, *pair, fs), moves):
+            pass
+
+
 def partition_folder(spark: SparkSession, column: str, value) -> str:
     """Folder name of a partition value, escaped as Spark writes it."""
     if value is None:

@@ -72,13 +72,15 @@ class Ledger:
                 files.remove(self.spark, staging)
             counts = write(staging)
             self.note(batch_id, "staged", counts)
+        moves = []
         for below, target in targets.items():
             for name in files.walk(self.spark, f"{staging}/{below}"):
                 folder, _, file = name.rpartition("/")
                 if file.startswith("part-"):
                     own = f"part-{self.query[:8]}-{batch_id:012d}-{file.removeprefix('part-')}"
                     place = f"{target}/{folder}/{own}" if folder else f"{target}/{own}"
-                    files.move(self.spark, f"{staging}/{below}/{name}", place)
+                    moves.append((f"{staging}/{below}/{name}", place))
+        files.move_all(self.spark, moves)
         self.note(batch_id, "done", counts)
         files.remove(self.spark, staging)
         for state in ("staged", "done"):

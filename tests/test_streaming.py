@@ -1,7 +1,9 @@
 """Streamed landing, consume-once loads and streamed merges."""
 
 import glob
+import itertools
 import os
+import threading
 import time
 from datetime import datetime
 
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from finlake.plans import models
 from finlake.sources import files, landing, raw, versions
 from finlake.streaming import ledger, trades as stream
+from workloads import loading
 
 RUN_AT = datetime(2024, 5, 11)
 
@@ -191,3 +194,25 @@ def test_running_landing_closes_batches_by_age(spark, folder):
     finally:
         query.stop()
     assert len(glob.glob(landed)) == 1
+
+
+def test_files_of_a_batch_move_several_at_a_time(spark, folder, monkeypatch):
+    put(f"{folder}/in/a.txt", *(message(i, s) for i in range(3) for s in ("A, B", "ETH%2F", "C D")))
+    pair, begun, real = threading.Barrier(2, timeout=30), itertools.count(), files.move
+
+    def move(*args, **kw):
+        if next(begun) < 2:
+            pair.wait()
+        return real(*args, **kw)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "move", move)
+        land(spark, folder)
+    now = datetime.now().date()
+    scanned = landing.scan(spark, f"{folder}/landing", now.replace(day=1), now, hourly=True)
+    assert scanned.count() == 9
+
+
+def test_input_of_a_batch_is_spread_over_files(spark, folder):
+    path = loading._as_files(spark.range(10_000), f"{folder}/in", "id", files=2)
+    assert len(glob.glob(f"{path}/part-*")) == 2 * loading.SPREAD
