@@ -50,18 +50,33 @@ def part_of(number: str) -> Column:
 
 
 def cut_days(
-    rows: DataFrame, large: DataFrame, group: list[str], day: str, number: str, work: str | None = None
+    rows: DataFrame,
+    large: DataFrame,
+    group: list[str],
+    day: str,
+    number: str,
+    rows_per_part: int,
+    work: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Bounds of large days, and the counts of their parts; scans the rows of those days twice."""
+    """Bounds of large days, and the counts of their parts; scans the rows of those days twice.
+
+    ``large`` tells each day's ``__n``: it gets a part per ``rows_per_part``, at most PARTS.
+    """
     keys = [*group, day]
     narrow = rows.select(*keys, number)
-    days = large.select(*keys, F.lit(True).alias("__large"))
-    of_large = null_safe_left_join(narrow, days, keys, *keys, number, "__large").where("__large")
+    days = large.select(*keys, F.least(F.ceil(F.col("__n") / rows_per_part), F.lit(PARTS)).cast("int").alias("__cuts"))
+    of_large = null_safe_left_join(narrow, days, keys, *keys, number, "__cuts").where("__cuts is not null")
     fractions = F.array(*[F.lit(k / PARTS) for k in range(1, PARTS)])
     quantiles = F.percentile_approx(F.col(number).cast("bigint"), fractions, ACCURACY)
+    found = of_large.groupBy(*keys).agg(quantiles.alias("__quantiles"), F.max("__cuts").alias("__cuts"))
+    # Of all quantiles, those of as many even parts.
+    even = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.col("__cuts") - 1, F.lit(1))),
+        lambda k: F.get("__quantiles", F.floor(k * PARTS / F.col("__cuts")).cast("int") - 1),
+    )
     # A day without any number is one part.
-    cuts = F.coalesce(F.array_sort(F.array_distinct(quantiles)), F.array().cast("array<bigint>"))
-    bounds = of_large.groupBy(*keys).agg(cuts.alias("__bounds"))
+    cuts = F.coalesce(F.array_sort(F.array_distinct(F.array_compact(even))), F.array().cast("array<bigint>"))
+    bounds = found.select(*keys, cuts.alias("__bounds"))
     bounds = files.hold(bounds, "rolling-bounds", work)
     parts = null_safe_left_join(narrow, bounds, keys, *keys, number, "__bounds").where("__bounds is not null")
     counts = parts.groupBy(*keys, part_of(number).alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
@@ -86,11 +101,12 @@ def place_days(
     The windows run over one row per unit, not over the data.
     """
     keys = [*group, day]
-    large = F.col("__n") > max(rows_per_bucket // CUT_SHARE, 1)
+    rows_per_part = max(rows_per_bucket // CUT_SHARE, 1)
+    large = F.col("__n") > rows_per_part
     units = counts.select(*keys, F.lit(0).alias("__part"), "__n")
     bounds = None
     if not counts.where(large).isEmpty():
-        bounds, parts = cut_days(rows, counts.where(large), group, day, number, work)
+        bounds, parts = cut_days(rows, counts.where(large), group, day, number, rows_per_part, work)
         units = units.where(~large).unionByName(parts)
     ordered = Window.partitionBy(*group).orderBy(F.col(day).asc_nulls_first(), "__part")
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
