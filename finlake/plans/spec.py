@@ -150,7 +150,9 @@ def type_payloads(
             if not strict or f.name not in first:
                 misfit = _scalar(f).isNotNull() & f.typed(_scalar(f), False).isNull()
                 errors.append(F.when(misfit, F.lit(f.name)))
-    listed = [F.array_compact(F.array(*errors)).alias(late_errors)] if late_errors else []
+    # array_compact would interpret all of its input row by row; the names differ, so this drops nulls only.
+    no_name = F.array(F.lit(None).cast("string"))
+    listed = [F.array_except(F.array(*errors), no_name).alias(late_errors)] if late_errors else []
     return texts.select(
         *(
             f.typed(_scalar(f), strict and (not late_errors or f.name in first)).alias(f.name)
