@@ -147,7 +147,8 @@ def start_merge(
 
     Streaming dedup by watermark would keep the first record of a key instead. A
     record later than one already merged must not lose to it, so the batch is merged
-    with the event time compared; a repeated batch changes nothing.
+    with the event time compared; a repeated batch changes nothing. A batch may be one large file,
+    whose row group is one task: its rows are dealt out before their payloads are parsed.
     """
     order = spec.event_order
     if order is None or spec.partition_day is None:
@@ -155,7 +156,8 @@ def start_merge(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = build(batch, spec, run_at).withColumn(PARTITION_DAY, F.to_date(spec.partition_day))
+        dealt = batch.repartition("payload", "_source_file", "_ingested_at")
+        new = build(dealt, spec, run_at).withColumn(PARTITION_DAY, F.to_date(spec.partition_day))
         merge_into(spark, path, new, spec.key, PARTITION_DAY, newer_by=order)
 
     writer = rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -10,10 +10,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from finlake.plans import models
+from finlake.plans import models, spec
 from finlake.sources import files, landing, raw, versions
 from finlake.streaming import ledger, trades as stream
-from workloads import loading
 
 RUN_AT = datetime(2024, 5, 11)
 
@@ -213,6 +212,20 @@ def test_files_of_a_batch_move_several_at_a_time(spark, folder, monkeypatch):
     assert scanned.count() == 9
 
 
-def test_input_of_a_batch_is_spread_over_files(spark, folder):
-    path = loading._as_files(spark.range(10_000), f"{folder}/in", "id", files=2)
-    assert len(glob.glob(f"{path}/part-*")) == 2 * loading.SPREAD
+def test_a_batch_of_one_file_is_dealt_out_before_it_is_parsed(spark, folder, monkeypatch):
+    rows = spark.range(2_000).select(
+        F.concat(F.lit('{"T":1,"E":1,"t":'), "id", F.lit("}")).alias("payload"), F.lit("f").alias("_source_file"),
+        F.lit(RUN_AT).alias("_ingested_at"), F.lit(RUN_AT.date()).alias("_load_date"),
+    )
+    rows.coalesce(1).write.parquet(f"{folder}/in")
+    plans = []
+
+    def build(batch, *args):
+        plans.append(batch._jdf.queryExecution().optimizedPlan().toString())
+        return spec.build(batch, *args)
+
+    monkeypatch.setattr(stream, "build", build)
+    arriving = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+    stream.start_merge(arriving, models.TRADES, f"{folder}/t", f"{folder}/cp", RUN_AT).awaitTermination()
+    assert plans and all("RepartitionByExpression" in plan for plan in plans)
+    assert versions.read(spark, f"{folder}/t").count() == 2_000

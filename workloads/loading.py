@@ -253,16 +253,16 @@ FROM loads GROUP BY day
 # -- streams --------------------------------------------------------------------------------
 
 
-# Files in place of one: a file's row group is read by one task, a batch of many files by all.
-SPREAD = 16
-
-
 def _as_files(rows: DataFrame, path: str, key: str, files: int = 4) -> str:
-    """Rows in ``files`` times SPREAD files, so that a stream takes them in several batches."""
-    rows.repartition(files * SPREAD, key).write.parquet(path)
+    """Rows in several files, so that a stream takes them in several batches; small row groups, so that tasks share one."""
+    rows.repartition(files, key).write.option("parquet.block.size", 8 << 20).parquet(path)
     return path
 
 
+# Input files in place of one, written by as many tasks.
+SPREAD = 16
+
+
 def stream_landing_hourly(spark, sf_dir):
     """Messages streamed to landing files by symbol and hour, then scanned."""
     work = job_dir(spark, "stream-landing")
@@ -293,7 +293,7 @@ def stream_hour_window(spark, sf_dir):
     work = job_dir(spark, "stream-hours")
     events = S.read(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp"), "event_type")
     path = _as_files(events, f"{work}/in", "event_id")
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2 * SPREAD).parquet(path)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(path)
     query = stream.start_hourly_counts(
         arriving, "ts", "event_type", f"{work}/hours", f"{work}/checkpoint", lateness="60 days"
     )
@@ -313,7 +313,7 @@ def stream_merge_latest(spark, sf_dir):
     work = job_dir(spark, "stream-merge")
     rows = S.raw_trades(spark, sf_dir)
     path = _as_files(rows, f"{work}/in", "payload", files=2)
-    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", SPREAD).parquet(path)
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
     query = stream.start_merge(
         arriving, models.TRADES, f"{work}/trades", f"{work}/checkpoint", RUN_AT
     )
