@@ -101,12 +101,13 @@ def place_days(
     The windows run over one row per unit, not over the data.
     """
     keys = [*group, day]
+    # Parts of half that size: a part that a later bucket looks back to is carried whole.
     rows_per_part = max(rows_per_bucket // CUT_SHARE, 1)
     large = F.col("__n") > rows_per_part
     units = counts.select(*keys, F.lit(0).alias("__part"), "__n")
     bounds = None
     if not counts.where(large).isEmpty():
-        bounds, parts = cut_days(rows, counts.where(large), group, day, number, rows_per_part, work)
+        bounds, parts = cut_days(rows, counts.where(large), group, day, number, max(rows_per_part // 2, 1), work)
         units = units.where(~large).unionByName(parts)
     ordered = Window.partitionBy(*group).orderBy(F.col(day).asc_nulls_first(), "__part")
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
